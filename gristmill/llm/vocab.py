@@ -133,3 +133,25 @@ def cut_texts(text: Column, vocab: Vocab, size: int) -> Column:
         return pa.array([vocab.cut(x or "", size) for x in col.to_pylist()], pa.list_(pa.string()))
 
     return cut(text)
+
+
+def row_tokens(df: DataFrame, key: list[str], text: str, vocab: Vocab, cut_chars: int = 1 << 18) -> DataFrame:
+    """Add ``tokens`` (long): the exact token count of a text column, which is dropped.
+
+    ``key`` names the row.  Texts of up to ``cut_chars`` characters are counted
+    where they are scanned; longer ones are cut at independent boundaries, the
+    parts salted across the workers, and their counts summed.
+    """
+    long = F.length(text) > cut_chars
+    counted = df.withColumn("tokens", F.when(long, F.lit(None)).otherwise(text_tokens(F.when(long, F.lit(None)).otherwise(F.col(text)), vocab)).cast("long")).drop(text)
+    big = df.where(long).select(*key, text)
+    if not big.take(1):
+        return counted
+    parts = big.select(*key, F.posexplode(cut_texts(F.col(text), vocab, cut_chars)).alias("_at", "_part")).repartition(*key, "_at")
+    sums = parts.select(*key, text_tokens(F.col("_part"), vocab).cast("long").alias("_n")).groupBy(*key).agg(F.sum("_n").alias("_n"))
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in key]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    joined = counted.alias("l").join(sums.alias("r"), on, "left")
+    return joined.select(*[F.coalesce("l.tokens", "r._n").alias(c) if c == "tokens" else F.col(f"l.{c}") for c in counted.columns])
