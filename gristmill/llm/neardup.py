@@ -8,10 +8,12 @@ tokens a group holds.  For a query text Q and a group G,
     |Q and S| / |Q or S|  <=  |Q and union(G)| / |Q|      for every S in G,
 
 so a group whose bound is below the threshold is never opened.  The groups
-worth bounding are found through the matrix itself: two sets of similarity t
-share a token among the first (1 - t) of either set in any common order, so only
-that prefix of each set is kept in the matrix.  The order is rarest first,
-by counts over all texts, which leaves nearly all prefix tokens with one text.
+worth bounding are found through the matrix itself: in any common order of the
+tokens, two sets of similarity t share at least a share L of their tokens
+among the first (1 - t + L) of either, so only that prefix of each set is kept
+in the matrix, and a group that holds fewer of a query's prefix tokens is passed
+over.  The order is rarest first, by counts over all texts, which leaves nearly
+all prefix tokens with one text.
 The result is exact: what is bounded, opened and compared is decided by
 whole sets.
 """
@@ -33,8 +35,8 @@ from gristmill.session import durable
 
 #: Words in a run.
 WIDTH = 3
-#: Buckets of the token counts that order the tokens: 4 MB, whatever the data's size.
-COUNT_BUCKETS = 1 << 20
+#: Buckets of the token counts that order the tokens: 8 MB, whatever the data's size.
+COUNT_BUCKETS = 1 << 21
 COUNT_CHUNKS = 64
 #: Members of a group that are compared in one task, and queries that meet them there.
 GROUP_MEMBERS = 256
@@ -45,6 +47,8 @@ EXPAND_CLASS = 32
 BROADCAST_IDS = 250_000
 #: Postings of one partition of the matrix.
 BUCKET_POSTINGS = 1_000_000
+#: Share of a set's tokens by which its prefix is longer than the least, and which a group must hold of it.
+EXTRA = 0.06
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -92,8 +96,18 @@ def dedup_text(messages: pa.Array) -> list[str]:
     return out
 
 
+def _extra(n: np.ndarray) -> np.ndarray:
+    return np.maximum(1, np.floor(EXTRA * n + 1e-9).astype(np.int64))
+
+
 def _prefix(n: np.ndarray, threshold: float) -> np.ndarray:
-    return np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+    """Tokens of the prefix of sets of ``n`` tokens."""
+    return np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + _extra(n), 0)
+
+
+def _held(n: np.ndarray, threshold: float) -> np.ndarray:
+    """Prefix tokens of a set of ``n`` that a similar set of at most ``n`` tokens holds in its own prefix."""
+    return _extra(np.ceil(threshold * n - 1e-9).astype(np.int64))
 
 
 def _class_refs(tok: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +147,7 @@ def token_counts(examples: DataFrame, width: int) -> np.ndarray:
         small = np.minimum(total, 2**31 - 1).astype(np.int32)
         return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([small.tobytes()], pa.binary())})
 
-    parts = examples.mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()  # 64 rows, 4 MB
+    parts = examples.mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()  # 64 rows, 8 MB
     out = np.zeros(COUNT_BUCKETS, np.int32)
     size = COUNT_BUCKETS // COUNT_CHUNKS
     for r in parts:
@@ -148,7 +162,7 @@ def _sketch(examples: DataFrame, counts: np.ndarray, buckets: int, threshold: fl
     the group).  Kind 1: ``bucket`` and packed arrays: tokens, the class each
     belongs to (an index into the packed classes), and the classes' sizes.
     """
-    shared = examples.sparkSession.sparkContext.broadcast(counts)  # 4 MB, whatever the data's size
+    shared = examples.sparkSession.sparkContext.broadcast(counts)  # 8 MB, whatever the data's size
     schema = "kind int, id string, c1 long, c2 long, n int, grp long, bucket int, tok binary, idx binary, cls binary, sizes binary, groups binary"
 
     def scan(batches):
@@ -174,7 +188,9 @@ def _sketch(examples: DataFrame, counts: np.ndarray, buckets: int, threshold: fl
             _, first = np.unique(c1, return_index=True)  # of equal texts in this batch, one
             keep = (rank < _prefix(n, threshold)[doc]) & np.isin(doc, first)
             tok, doc = tok[keep], doc[keep]
-            where = (mix(tok) % np.uint64(buckets)).astype(np.int64)
+            mixed = mix(tok)
+            where = (mixed % np.uint64(buckets)).astype(np.int64)
+            tok = (mixed >> np.uint64(32)).astype(np.uint32)  # a rare clash only makes a bound larger
             by = np.argsort(where, kind="stable")
             tok, doc, where = tok[by], doc[by], where[by]
             cuts = np.searchsorted(where, np.arange(buckets + 1))
@@ -197,7 +213,7 @@ def _sketch(examples: DataFrame, counts: np.ndarray, buckets: int, threshold: fl
 
 
 def _candidates(matrix: DataFrame, buckets: int, threshold: float) -> DataFrame:
-    """``q, grp``: classes and the groups that hold a class before them which shares a prefix token.
+    """``q, grp``: classes and the groups that hold enough of their prefix tokens.
 
     Of two classes the one with more tokens (then the greater reference) is the
     query, so each pair is met once.  A row of the matrix lists, for a token, the
@@ -209,7 +225,7 @@ def _candidates(matrix: DataFrame, buckets: int, threshold: float) -> DataFrame:
         for b in batches:
             for bucket, tok, idx, cls, sizes, groups in zip(*(b.column(c).to_pylist() for c in ("bucket", "tok", "idx", "cls", "sizes", "groups"))):
                 i = np.frombuffer(idx, np.uint16)
-                held.setdefault(bucket, []).append((np.frombuffer(tok, np.uint64), np.frombuffer(cls, np.uint64)[i], np.frombuffer(sizes, np.int32)[i], np.frombuffer(groups, np.uint64)[i]))
+                held.setdefault(bucket, []).append((np.frombuffer(tok, np.uint32), np.frombuffer(cls, np.uint64)[i], np.frombuffer(sizes, np.int32)[i], np.frombuffer(groups, np.uint64)[i]))
         for parts in held.values():
             tok, cls, n, grp = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((cls, n, tok))
@@ -221,21 +237,34 @@ def _candidates(matrix: DataFrame, buckets: int, threshold: float) -> DataFrame:
             tok, cls, n, grp = tok[fresh], cls[fresh], n[fresh], grp[fresh]
             start = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
             end = np.append(start[1:], len(tok))
-            q_out, g_out = [], []
+            need = _held(n.astype(np.int64), threshold)
+            g_out, row = [], []
             for s, e in zip(start[end - start > 1], end[end - start > 1]):
                 # ascending by size: row j meets the groups of the rows before it that are large enough
-                lows = np.searchsorted(n[s:e], np.ceil(threshold * n[s:e] - 1e-9), side="left")
+                lows = np.searchsorted(n[s:e], np.ceil(threshold * n[s:e] - 1e-9), side="left").tolist()
                 for j in range(1, e - s):
-                    if lows[j] < j:
-                        gs = np.unique(grp[s + lows[j] : s + j])
-                        q_out.append(np.full(len(gs), cls[s + j]))
+                    low = lows[j]
+                    if low == j - 1:
+                        g_out.append(grp[s + low : s + j])
+                        row.append((s + j, 1))
+                    elif low < j:
+                        gs = np.unique(grp[s + low : s + j])
                         g_out.append(gs)
-            if q_out:
-                pair = np.unique(np.column_stack([np.concatenate(q_out), np.concatenate(g_out)]), axis=0)
-                yield pa.record_batch([pa.array(pair[:, 0].copy().view(np.int64)), pa.array(pair[:, 1].copy().view(np.int64))], names=["q", "grp"])
+                        row.append((s + j, len(gs)))
+            if row:
+                at, times = np.array(row).T
+                at = np.repeat(at, times)
+                q, g = cls[at], np.concatenate(g_out)
+                with np.errstate(over="ignore"):
+                    _, one, count = np.unique(mix(q ^ mix(g)), return_index=True, return_counts=True)
+                yield pa.record_batch(
+                    [pa.array(q[one].view(np.int64)), pa.array(g[one].view(np.int64)), pa.array(count.astype(np.int32)), pa.array(need[at[one]].astype(np.int32))],
+                    names=["q", "grp", "held", "need"],
+                )
 
     spread = matrix.where("kind = 1").select("bucket", "tok", "idx", "cls", "sizes", "groups").repartition(buckets, "bucket")
-    return spread.mapInArrow(probe, "q long, grp long").distinct()
+    held = spread.mapInArrow(probe, "q long, grp long, held int, need int").groupBy("q", "grp").agg(F.sum("held").alias("held"), F.max("need").alias("need"))
+    return held.where("held >= need").select("q", "grp")
 
 
 def similar_classes(examples: DataFrame, threshold: float = 0.7, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -249,7 +278,7 @@ def similar_classes(examples: DataFrame, threshold: float = 0.7, width: int = WI
     """
     wanted = examples.where("id is not null").select("id", "messages")
     counts = token_counts(wanted, width)
-    postings = float(counts.sum(dtype=np.int64)) * (1 - threshold)
+    postings = float(counts.sum(dtype=np.int64)) * (1 - threshold + EXTRA)
     buckets = max(16, math.ceil(postings / BUCKET_POSTINGS))
     sketch = durable(_sketch(wanted, counts, buckets, threshold, width))
     docs = sketch.where("kind = 0").groupBy("id").agg(F.max(F.struct("c1", "c2", "n", "grp")).alias("d")).select("id", "d.*")
