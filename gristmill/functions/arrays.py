@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.text import let
+
 
 def count_where(a: Column, f) -> Column:
     """How many elements satisfy a condition."""
@@ -30,14 +32,18 @@ def mask_violation(ids: Column, labels: Column, system: Column, user: Column, re
     Everything up to and with the response marker that follows a system or user
     marker must be masked with -100, and so must all before the first response.
     """
-    r, u, s = positions(ids, response), positions(ids, user), positions(ids, system)
-    masked = lambda a, b: F.forall(F.slice(labels, a + 1, F.greatest(b - a, F.lit(0))), lambda x: x == -100)
-    following = lambda at: F.array_min(F.filter(r, lambda x: x > at))
-    good = lambda at: masked(at, following(at) + F.size(response))
-    return (
-        F.when((F.size(r) == 0) | (F.size(u) == 0) | (F.size(s) == 0), "markers not found")
-        .when(~masked(F.lit(0), r[0] + F.size(response)), "initial tokens are supervised")
-        .when(F.exists(F.concat(u, s), lambda at: following(at).isNull()), "turn without a response")
-        .when(~F.forall(u, good), "user tokens are supervised")
-        .when(~F.forall(s, good), "system tokens are supervised")
-    )
+    def check(at: Column) -> Column:
+        r, u, s = at["r"], at["u"], at["s"]
+        masked = lambda a, b: F.forall(F.slice(labels, a + 1, F.greatest(b - a, F.lit(0))), lambda x: x == -100)
+        following = lambda i: F.array_min(F.filter(r, lambda x: x > i))
+        good = lambda i: masked(i, following(i) + F.size(response))
+        return (
+            F.when((F.size(r) == 0) | (F.size(u) == 0) | (F.size(s) == 0), "markers not found")
+            .when(~masked(F.lit(0), r[0] + F.size(response)), "initial tokens are supervised")
+            .when(F.exists(F.concat(u, s), lambda i: following(i).isNull()), "turn without a response")
+            .when(~F.forall(u, good), "user tokens are supervised")
+            .when(~F.forall(s, good), "system tokens are supervised")
+        )
+
+    where = F.struct(positions(ids, response).alias("r"), positions(ids, user).alias("u"), positions(ids, system).alias("s"))
+    return let(where, check)

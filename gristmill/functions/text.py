@@ -11,6 +11,15 @@ WORD = r"[\p{L}\p{N}_]"
 LINE_END = "\r\n|[\n\r\\x0b\\x0c\\x1c-\\x1e\\x85\\x{2028}\\x{2029}]"
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once.
+
+    Inside a lambda Catalyst repeats an expression for every element; a bound
+    variable is evaluated one time.
+    """
+    return F.transform(F.array(value), f)[0]
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
@@ -23,21 +32,22 @@ def normalize(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Words of a normalized text; no words give an empty array."""
-    n = normalize(c)
-    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " "))
+    return let(normalize(c), lambda n: F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " ")))
 
 
 def shingles(c: Column, width: int = 5) -> Column:
     """Distinct runs of ``width`` words; a shorter text is one run, an empty one has none."""
-    w = words(c)
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (width - 1)), lambda i: F.array_join(F.slice(w, i, width), " "))
-    return F.when(F.size(w) == 0, w).when(F.size(w) < width, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(runs))
+
+    def runs(w: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.size(w) - (width - 1)), lambda i: F.array_join(F.slice(w, i, width), " "))
+        return F.when(F.size(w) == 0, w).when(F.size(w) < width, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(every))
+
+    return let(words(c), runs)
 
 
 def lines(c: Column) -> Column:
     """Lines, without one empty line at the end."""
-    parts = F.split(c, LINE_END)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(c, LINE_END), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
 
 
 def fenced_code(c: Column) -> Column:
@@ -64,10 +74,13 @@ def truncate_tokens(c: Column, budget: Column) -> Column:
 
     The mark is not counted.  Budgets under 32 keep the head alone.
     """
-    t = F.split(strip(c), f"{SPACE}+")
     left = F.floor(budget * 2 / 3).cast("int")
     right = (budget - left).cast("int")
     join = lambda a: F.array_join(a, " ")
-    both = F.concat(join(F.slice(t, F.lit(1), left)), F.lit("\n...<TRUNCATED>...\n"), join(F.slice(t, F.size(t) - right + 1, right)))
-    head = join(F.slice(t, F.lit(1), F.greatest(budget, F.lit(0)).cast("int")))
-    return F.when(F.size(t) <= budget, c).when(budget < 32, head).otherwise(both)
+
+    def cut(t: Column) -> Column:
+        both = F.concat(join(F.slice(t, F.lit(1), left)), F.lit("\n...<TRUNCATED>...\n"), join(F.slice(t, F.size(t) - right + 1, right)))
+        head = join(F.slice(t, F.lit(1), F.greatest(budget, F.lit(0)).cast("int")))
+        return F.when(F.size(t) <= budget, c).when(budget < 32, head).otherwise(both)
+
+    return let(F.split(strip(c), f"{SPACE}+"), cut)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.messages import role_text
-from gristmill.functions.text import normalize, shingles
+from gristmill.functions.text import normalize
 from gristmill.operators.dedup import decontaminate, greedy_first_wins
 from gristmill.operators.minhash import signature, similar_pairs
 from gristmill.operators.stats import first_reason
@@ -30,7 +30,7 @@ def accept(candidates: DataFrame, benchmark: DataFrame, benchmark_text: str, max
     clean = short.join(tainted, "rank", "left_anti").select("rank", "_all")
     if accepted is not None:
         clean = clean.unionByName(accepted.select("rank", role_text(F.col("messages"), ["user", "assistant"]).alias("_all")))
-    signed = durable(clean.select("rank", signature(shingles(F.col("_all")), family).alias("sig"), F.sha2(normalize(F.col("_all")), 256).alias("hash")))
+    signed = durable(clean.select("rank", signature(F.col("_all"), family).alias("sig"), F.sha2(normalize(F.col("_all")), 256).alias("hash")))
     pairs = similar_pairs(signed, "rank", threshold)
     kept = durable(greedy_first_wins(signed, pairs, "rank"))
     flags = candidates.join(tainted.withColumn("_t", F.lit(True)), "rank", "left").join(kept.withColumn("_k", F.lit(True)), "rank", "left")

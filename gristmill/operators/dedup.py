@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import normalize, shingles
+from gristmill.functions.text import normalize
 from gristmill.operators.minhash import banded, signature, similarity
 from gristmill.session import durable
 
@@ -48,7 +48,7 @@ def decontaminate(df: DataFrame, key: str, text: str, benchmark: DataFrame, benc
     The benchmark side is a held-out set of bounded size; its bands are joined
     by hash, and Spark broadcasts them where they are small.
     """
-    sign = lambda d, t, k: d.select(k, signature(shingles(F.col(t)), family).alias("sig"), F.sha2(normalize(F.col(t)), 256).alias("hash"))
+    sign = lambda d, t, k: d.select(k, signature(F.col(t), family).alias("sig"), F.sha2(normalize(F.col(t)), 256).alias("hash"))
     ours = sign(df, text, key)
     theirs = durable(sign(benchmark.select(benchmark_text).distinct().withColumn("_b", F.xxhash64(benchmark_text)), benchmark_text, "_b"))
     ours = durable(ours)

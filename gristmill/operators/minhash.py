@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions.text import shingles
+from gristmill.functions.text import normalize
+from gristmill.session import durable
 
 PRIME = (1 << 61) - 1
 SLOTS = 64
@@ -24,10 +25,14 @@ BANDS = 8
 _SEEDS = np.arange(SLOTS, dtype=np.int64)
 
 
-def _digest(run: str) -> int:
+def _blake(run: str) -> int:
     return int.from_bytes(hashlib.blake2b(run.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") % PRIME
 
 
+def _sha(run: str) -> int:
+    return int(hashlib.sha256(run.encode("utf-8", "surrogatepass")).hexdigest()[:15], 16) % PRIME
+
+
 def _compat(v: np.ndarray) -> np.ndarray:
     step = (v >> 29) | 1
     return ((v[:, None] + step[:, None] * (_SEEDS + 1) + _SEEDS * _SEEDS) % PRIME).min(axis=0)
@@ -41,26 +46,30 @@ def _independent(v: np.ndarray) -> np.ndarray:
         return ((x ^ (x >> np.uint64(31))) % np.uint64(PRIME)).min(axis=0).astype(np.int64)
 
 
-def signature(runs: Column, family: str = "compat") -> Column:
-    """Signature of ``array<string>`` runs as ``array<bigint>`` of 64; no runs give zeros."""
-    hashed = {"compat": _compat, "independent": _independent}[family]
+def _runs(normal: str | None, width: int) -> set[str]:
+    words = normal.split(" ") if normal else []
+    if len(words) < width:
+        return {normal} if normal else set()
+    return {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def signature(text: Column, family: str = "compat", width: int = 5) -> Column:
+    """Signature of a text's runs of ``width`` words as ``array<bigint>`` of 64; no words give zeros.
+
+    The text is normalized in the JVM and goes to Python once, as Arrow batches:
+    nested lambdas over runs are many times slower.
+    """
+    hashed, digest = {"compat": (_compat, _blake), "independent": (_independent, _blake), "sha": (_compat, _sha)}[family]
 
     @F.arrow_udf("array<long>")
     def sign(col: pa.Array) -> pa.Array:
-        zero = [0] * SLOTS
-        out = [hashed(np.array([_digest(r) for r in x], np.int64)).tolist() if x else zero for x in col.to_pylist()]
+        out = []
+        for normal in col.to_pylist():
+            runs = _runs(normal, width)
+            out.append(hashed(np.array([digest(r) for r in runs], np.int64)).tolist() if runs else [0] * SLOTS)
         return pa.array(out, pa.list_(pa.int64()))
 
-    return sign(runs)
-
-
-def sha_signatures(df: DataFrame, key: str, text: str, width: int = 5) -> DataFrame:
-    """``key, sig`` of the ``sha`` family, all in the JVM: explode, then 64 minima with partial aggregation."""
-    exploded = df.select(key, F.explode_outer(shingles(F.col(text), width)).alias("r"))
-    v = F.conv(F.substring(F.sha2("r", 256), 1, 15), 16, 10).cast("bigint") % PRIME
-    hashed = exploded.select(key, v.alias("v")).withColumn("w", F.shiftright("v", 29).bitwiseOR(F.lit(1).cast("bigint")))
-    slots = [F.min((F.col("v") + F.col("w") * (s + 1) + s * s) % PRIME).alias(f"s{s}") for s in range(SLOTS)]
-    return hashed.groupBy(key).agg(*slots).select(key, F.array(*[F.coalesce(f"s{s}", F.lit(0).cast("bigint")) for s in range(SLOTS)]).alias("sig"))
+    return sign(normalize(text))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -85,7 +94,8 @@ def similar_pairs(df: DataFrame, key: str, threshold: float = 0.85, sig: str = "
     one pair each (similarity 1), and only the classes' representatives meet in
     the bands, so a hot group of copies makes no quadratic list.
     """
-    reps = df.groupBy(sig).agg(F.min(key).alias("_rep"))
+    df = durable(df.select(key, sig))
+    reps = durable(df.groupBy(sig).agg(F.min(key).alias("_rep")))
     members = df.join(reps, sig)
     copies = members.where(F.col(key) != F.col("_rep")).select(F.col("_rep").alias("lo"), F.col(key).alias("hi"), F.lit(1.0).alias("similarity"))
     b = banded(reps, "_rep", sig, bands)

@@ -26,10 +26,10 @@ def candidate_count(count: int, multiplier: float, smoke: bool = False) -> int:
     return max(n, count + 16) if smoke else n
 
 
-def sample_key(*keys: str) -> Column:
+def sample_key(df: DataFrame, *keys: str) -> Column:
     """First of the columns that is neither null, empty nor zero, else the JSON of the row."""
     some = [F.nullif(F.nullif(F.col(k).cast("string"), F.lit("")), F.lit("0")) for k in keys]
-    return F.coalesce(*some, F.to_json(F.struct("*")))
+    return F.coalesce(*some, F.to_json(F.struct(*df.columns)))
 
 
 def first_n(df: DataFrame, order: list, n: int) -> DataFrame:

@@ -1,9 +1,557 @@
-"""Queries over the operators of the core."""
+"""Queries over the operators of the core, and the SQL that says the same."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-def oracle_sql():
-    return {}
+from gristmill.functions import arrays, diffs, hashing, language, messages, quality, text
+from gristmill.operators import accept as accepting
+from gristmill.operators import dedup, gates, minhash, sampling, stats
+from gristmill.plans import evaluation, mixture, repo_context
+from gristmill.session import table
+from gristmill.sources import writers
+
+SAMPLE = 200
+TIERS = {"A": 0.5, "B": 0.3, "C": 0.15, "D": 0.05}
+LANGUAGES = {"python": 0.35, "javascript": 0.15, "typescript": 0.15, "java": 0.10, "cpp": 0.10, "go": 0.08, "rust": 0.05, "shell": 0.01, "sql": 0.01}
+_Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+# --- SQL fragments -------------------------------------------------------------
+
+_NORM = r"trim(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
+_SP = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+_STRIP = rf"regexp_replace({{0}}, '^{_SP.replace('{', '{{').replace('}', '}}')}+|{_SP.replace('{', '{{').replace('}', '}}')}+$', '', 'g')"
+_HEX = "substr(sha256('3407:' || {0}), 1, 16)"
+_BUCKET100 = "((('0x' || substr({h}, 1, 8))::bigint % 100) * 96 + ('0x' || substr({h}, 9, 8))::bigint) % 100"
+
+
+def _norm(c: str) -> str:
+    return _NORM.format(c)
+
+
+def _strip(c: str) -> str:
+    return _STRIP.format(c)
+
+
+def _hex(c: str) -> str:
+    return _HEX.format(c)
+
+
+def _mod(c: str, m: int) -> str:
+    h = _hex(c)
+    return f"((('0x' || substr({h}, 1, 8))::bigint % {m}) * {(1 << 32) % m} + ('0x' || substr({h}, 9, 8))::bigint) % {m}"
+
+
+def _split(c: str) -> str:
+    return f"case when {_mod(c, 100)} < 90 then 'train' when {_mod(c, 100)} < 95 then 'validation' when {c} is not null then 'test' end"
+
+
+def _quote(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _aliases(c: str) -> str:
+    return f"case {c} " + " ".join(f"when {_quote(k)} then {_quote(v)}" for k, v in language.ALIASES.items()) + f" else {c} end"
+
+
+def _infer(c: str, fallback: str = "'unknown'") -> str:
+    label = f"regexp_extract({c}, {_quote(language.FENCE_LABEL)}, 1)"
+    signs = " ".join(f"when regexp_matches({c}, {_quote('(?ims)' + p)}) then {_quote(n)}" for n, p in language.SIGNS)
+    return f"case when {label} <> '' then {_aliases(f'lower({label})')} {signs} else {_aliases(f'lower({_strip(fallback)})')} end"
+
+
+_SHINGLES = "case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) end"
+_WORDS = f"case when {_norm('text')} = '' then [] else string_split({_norm('text')}, ' ') end"
+_SIGNED = f"""
+with w as (select doc_id, {_WORDS} as w from documents where text is not null),
+runs as (select doc_id, unnest({_SHINGLES}) as r from w),
+v as (select doc_id, ('0x' || substr(sha256(r), 1, 15))::bigint % {minhash.PRIME} as v from runs),
+sig as (select doc_id, [{', '.join(f'min((v + ((v >> 29) | 1) * {s + 1} + {s * s}) % {minhash.PRIME})' for s in range(minhash.SLOTS))}] as sig from v group by doc_id)
+"""
+_TEST_PATHS = "list_filter(list_concat(coalesce(fail_to_pass, []), coalesce(pass_to_pass, [])), lambda x: x is not null and x <> '')"
+#: DuckDB's list_distinct gives no order: the first of each kept by position.
+_ORDERED = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _Q[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text is not null")
+
+
+# --- text and hashes -------------------------------------------------------------
+
+
+@query(f"select doc_id, {_norm('text')} as norm from documents where text is not null")
+def normalize_text(spark, d):
+    return _docs(spark, d).select("doc_id", text.normalize(F.col("text")).alias("norm"))
+
+
+@query(f"with w as (select doc_id, {_WORDS} as w from documents where text is not null) select doc_id, len({_SHINGLES}) as n, len(w) as words from w")
+def shingle_counts(spark, d):
+    return _docs(spark, d).select("doc_id", F.size(text.shingles(F.col("text"))).cast("long").alias("n"), F.size(text.words(F.col("text"))).cast("long").alias("words"))
+
+
+@query(f"select doc_id, {_hex('doc_id::varchar')} as h, {_mod('doc_id::varchar', 100)} as bucket, {_split('doc_id::varchar')} as split from documents")
+def stable_hash_split(spark, d):
+    c = F.col("doc_id")
+    return table(spark, d, "documents").select("doc_id", hashing.hash_hex(c).alias("h"), hashing.hash_bucket(c, 100).alias("bucket"), hashing.hash_split(c).alias("split"))
+
+
+@query(f"select lang, {_split('doc_id::varchar')} as split, count(*) as n from documents group by all")
+def split_distribution(spark, d):
+    return table(spark, d, "documents").groupBy("lang", hashing.hash_split(F.col("doc_id")).alias("split")).agg(F.count("*").alias("n"))
+
+
+@query("select id, sha256(to_json(list_transform(messages, lambda m: {'content': m.content, 'role': m.role}))::varchar) as h from normalized_examples where not list_contains([m.content is null for m in messages], true)")
+def content_hash(spark, d):
+    e = table(spark, d, "normalized_examples").where(~F.exists("messages", lambda m: m.content.isNull()))
+    return e.select("id", hashing.messages_hash(F.col("messages")).alias("h"))
+
+
+@query(
+    f"""with o as (select id, commit_rows.* exclude (loaded_at, produced_at) from (select 1 as id) cross join commit_rows)
+    select commit, new_file, {_infer("coalesce(new_contents, '')", "coalesce(lang, 'unknown')")} as language, {_infer("''", "coalesce(lang, 'unknown')")} as own from o"""
+)
+def infer_language(spark, d):
+    c = table(spark, d, "commit_rows")
+    own = F.coalesce("lang", F.lit("unknown"))
+    return c.select("commit", "new_file", language.infer_language(F.coalesce("new_contents", F.lit("")), own).alias("language"), language.infer_language(F.lit(""), own).alias("own"))
+
+
+@query(f"select doc_id, {_infer('text')} as language from documents where text is not null")
+def document_language(spark, d):
+    return _docs(spark, d).select("doc_id", language.infer_language(F.col("text")).alias("language"))
+
+
+@query(
+    "with s as (select new_file, lower(regexp_extract(regexp_extract(new_file, '([^/]*)/*$', 1), '^.+(\\.[^.]+)$', 1)) as s from commit_rows) select new_file, case "
+    + " ".join(f"when s in ({', '.join(map(_quote, v))}) then '{k}'" for k, v in language.SUFFIXES.items())
+    + " else 'unknown' end as language, count(*) as n from s group by all"
+)
+def path_language(spark, d):
+    return table(spark, d, "commit_rows").groupBy("new_file", language.path_language(F.col("new_file")).alias("language")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "select id, coalesce(list_max(list_transform(regexp_extract_all(output, '(?s)```(?:[A-Za-z0-9_+.#-]+)?\\s*\\n(.*?)```', 1), lambda x: length(x))), 0) as longest, "
+    f"case when len(regexp_extract_all(output, '(?s)```(?:[A-Za-z0-9_+.#-]+)?\\s*\\n(.*?)```', 1)) = 0 then {_strip('output')} end as whole from instruction_rows where output is not null"
+)
+def fenced_code(spark, d):
+    rows = table(spark, d, "instruction_rows").where("output is not null")
+    bodies = F.regexp_extract_all("output", F.lit(r"(?s)```(?:[A-Za-z0-9_+.#-]+)?\s*\n(.*?)```"), 1)
+    return rows.select("id", F.coalesce(F.array_max(F.transform(bodies, F.length)), F.lit(0)).cast("long").alias("longest"), F.when(F.size(bodies) == 0, text.fenced_code(F.col("output"))).alias("whole"))
+
+
+# --- diffs and tasks ---------------------------------------------------------------
+
+
+@query()
+def unified_diff(spark, d):
+    c = table(spark, d, "commit_rows")
+    patch = diffs.unified_diff(F.col("old_contents"), F.col("new_contents"), F.col("old_file"), F.col("new_file"))
+    return c.select("commit", "new_file", patch.alias("patch"))
+
+
+_GIT = r"regexp_extract_all(patch, '(?m)^diff --git a/(.*?) b/(.*?)$', 2)"
+_NEW = r"list_filter(regexp_extract_all(patch, '(?m)^\+\+\+ b/(.*?)$', 1), lambda x: x <> '/dev/null')"
+
+
+@query(
+    f"""select instance_id, {_ORDERED.format(f"(case when len({_GIT}) > 0 then {_GIT} else {_NEW} end)")} as changed_files, {_ORDERED.format(f"list_transform({_TEST_PATHS}, lambda x: split_part(x, '::', 1))")} as tests,
+    regexp_matches(patch, '(?m)^--- ') and regexp_matches(patch, '(?m)^\\+\\+\\+ ') as is_diff from repo_tasks where patch is not null"""
+)
+def patch_facts(spark, d):
+    t = table(spark, d, "repo_tasks").where("patch is not null")
+    return t.select("instance_id", diffs.changed_files(F.col("patch")).alias("changed_files"), diffs.test_paths(F.col("fail_to_pass"), F.col("pass_to_pass")).alias("tests"), diffs.is_diff(F.col("patch")).alias("is_diff"))
+
+
+_HEADS = r"list_transform(regexp_extract_all(patch, '(?m)^@@.*?@@\s*(.*)$', 1), lambda h: coalesce(nullif(regexp_extract(h, '" + diffs.NAMED + r"', 1), ''), nullif(regexp_extract(h, '" + diffs.NAMED + r"', 2), '')))"
+
+
+@query(f"select instance_id, {_ORDERED.format(f'list_filter({_HEADS}, lambda x: x is not null)')} as functions from repo_tasks where patch is not null")
+def patch_functions(spark, d):
+    return table(spark, d, "repo_tasks").where("patch is not null").select("instance_id", diffs.changed_functions(F.col("patch")).alias("functions"))
+
+
+_REPO = r"regexp_extract(coalesce(repo, ''), '^(?:swesmith/)?(.*?)__(.*)\.([^.]*)$', {0})"
+
+
+@query(
+    f"""with p as (select instance_id, {_REPO.format(1)} || '/' || {_REPO.format(2)} as name, lower({_REPO.format(3)}) as c from repo_tasks),
+    ok as (select instance_id, case when regexp_full_match(name, '[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+') and regexp_full_match(c, '[0-9a-f]{{7,40}}') then name end as github_repo, c from p)
+    select instance_id, github_repo, case when github_repo is not null then c end as commit from ok"""
+)
+def repo_revisions(spark, d):
+    return table(spark, d, "repo_tasks").withColumn("r", diffs.revision(F.col("repo"))).select("instance_id", "r.github_repo", "r.commit")
+
+
+@query(
+    f"""with f as (select instance_id, {_HEADS} as hf, list_transform({_TEST_PATHS}, lambda x: x) as t from repo_tasks where patch is not null and instance_id <> ''),
+    b as (select instance_id, len(list_filter(hf, lambda x: x is not null)) as nf, len(t) as nt, {_mod('instance_id', 100)} as b, {_mod("'position:' || instance_id", 5)} as p, {_mod("'length:' || instance_id", 10)} as l from f)
+    select instance_id, case when b < 40 then 'file_localization' when b < 60 and nf > 0 then 'function_localization' when b < 90 then 'patch_generation' when nt > 0 then 'test_localization' else 'patch_generation' end as task_type,
+    p::int as position_bucket, case when l < 6 then 16384 when l < 8 then 24576 else 32768 end as target_tokens from b"""
+)
+def task_plan(spark, d):
+    t = table(spark, d, "repo_tasks").where("patch is not null and instance_id <> ''")
+    return repo_context.task_rows(t).select(F.col("source_id").alias("instance_id"), "task_type", "position_bucket", "target_tokens")
+
+
+@query()
+def task_skips(spark, d):
+    return stats.skips(repo_context.task_rows(table(spark, d, "repo_tasks")), "skip", "source_id", ["source_id"])[0]
+
+
+# --- quality -------------------------------------------------------------------------
+
+_FOUND = "regexp_extract(coalesce(average_test_score, ''), '[0-9]+(?:\\.[0-9]+)?')"
+_TEST = f"coalesce(case when {_FOUND} = '' then 0.0 when {_FOUND}::double > 1.0 then {_FOUND}::double / 100.0 else {_FOUND}::double end, 0.0)"
+_JUDGE = "list_filter(list_transform(regexp_extract_all(coalesce(llm_judgement, ''), '\"score\"\\s*:\\s*([0-9.]+)', 1), lambda x: try_cast(x as double)), lambda x: x is not null)"
+_TIERED = f"""with s as (select id, loaded_at, {_TEST} as test_score, coalesce(list_min({_JUDGE}), 0.0) as least_judge from instruction_rows),
+tiered as (select *, case when test_score >= 1 and least_judge >= 5 then 'A' when test_score >= 1 and least_judge >= 4 then 'B' when test_score >= 0.9 and least_judge >= 4 then 'C' when test_score >= 0.8 and least_judge >= 4 then 'D' end as tier from s)
+"""
+
+
+@query(_TIERED + "select id, test_score, least_judge, tier from tiered")
+def quality_tier(spark, d):
+    return mixture.with_tier(table(spark, d, "instruction_rows")).select("id", "test_score", "least_judge", "tier")
+
+
+@query()
+def judge_scores_exact(spark, d):
+    return table(spark, d, "instruction_rows").select("id", quality.judge_scores_exact(F.col("llm_judgement")).alias("scores"))
+
+
+# --- sampling and quotas ---------------------------------------------------------------
+
+
+@query(f"select doc_id from documents order by {_hex('doc_id::varchar')}, doc_id limit {SAMPLE}")
+def priority_sample(spark, d):
+    return sampling.priority_sample(table(spark, d, "documents").select("doc_id"), F.col("doc_id"), SAMPLE, tie="doc_id")
+
+
+@query(
+    _TIERED
+    + f""", one as (select id, min(tier) as tier from tiered where tier is not null group by id),
+    q as (select * from (values ('A', 75), ('B', 45), ('C', 23), ('D', 8)) t(tier, n)),
+    r as (select id, one.tier, row_number() over (partition by one.tier order by {_hex('id')}, id) as rank, n from one join q on q.tier = one.tier)
+    select tier, id, rank from r where rank <= n"""
+)
+def stratified_sample(spark, d):
+    rows = mixture.with_tier(table(spark, d, "instruction_rows")).where("tier is not null").groupBy("id").agg(F.min("tier").alias("tier"))
+    limits = {t: sampling.candidate_count(n, 1.5) for t, n in sampling.largest_remainder(100, TIERS).items()}
+    return sampling.stratified_sample(rows, "tier", limits, F.col("id"), tie="id").select("tier", "id", F.col("_rank").cast("long").alias("rank"))
+
+
+@query(
+    """with n as (select source, count(*)::double as w from documents where source is not null group by source), x as (select source, 1000.0::double * w / sum(w) over () as x from n),
+    f as (select source, x, floor(x) as f from x), r as (select *, row_number() over (order by x - f desc, source) as r, 1000 - sum(f) over () as left_over from f)
+    select source, (f + case when r <= left_over then 1 else 0 end)::bigint as quota from r"""
+)
+def largest_remainder(spark, d):
+    n = table(spark, d, "documents").where("source is not null").groupBy("source").agg(F.count("*").cast("double").alias("w"))
+    return sampling.apportion(n, "source", "w", 1000)
+
+
+_BACKFILL = {"en": 120, "de": 200, "fr": 20, "es": 20}
+
+
+@query(
+    f"""with q as (select * from (values {', '.join(f"('{k}', {v})" for k, v in _BACKFILL.items())}) t(lang, n)),
+    r as (select doc_id, documents.lang, n, row_number() over (partition by documents.lang order by doc_id) as rank from documents join q on q.lang = documents.lang),
+    short as (select sum(greatest(0, n - have)) as s from (select q.lang, any_value(n) as n, count(doc_id) as have from q left join documents on documents.lang = q.lang group by q.lang)),
+    rest as (select doc_id, lang, row_number() over (order by {_hex('doc_id::varchar')}, doc_id) as k from r where rank > n)
+    select doc_id, lang, false as filled from r where rank <= n union all select doc_id, lang, true from rest where k <= (select s from short)"""
+)
+def quota_backfill(spark, d):
+    return sampling.backfill(table(spark, d, "documents").select("doc_id", "lang"), "lang", _BACKFILL, ["doc_id"], F.col("doc_id"))
+
+
+@query(
+    f"""with o as (select distinct on (id) id from normalized_examples where lower(trim(split)) = 'train' order by id) select id from o order by {_hex('id')}, id limit 556"""
+)
+def rehearsal(spark, d):
+    e = table(spark, d, "normalized_examples").select("id", F.lower(F.trim("split")).alias("split")).distinct()
+    return sampling.rehearsal(e, F.col("id"), tie="id").select("id")
+
+
+@query(
+    """with a as (select lang as key, count(*) as actual from documents where lang is not null group by 1), w as (select unnest(['en', 'de', 'fr', 'es', 'it']) as key, 300 as wanted)
+    select w.key as lang, wanted - coalesce(actual, 0) as missing from w left join a using (key) where wanted > coalesce(actual, 0)"""
+)
+def shortages(spark, d):
+    wanted = spark.createDataFrame([(x, 300) for x in ("en", "de", "fr", "es", "it")], "lang string, wanted long")
+    actual = table(spark, d, "documents").where("lang is not null").groupBy("lang").agg(F.count("*").alias("actual"))
+    return sampling.shortages(wanted, actual, "lang")
+
+
+# --- deduplication -----------------------------------------------------------------------
+
+
+@query(f"select min(doc_id) as doc_id from documents where text is not null group by sha256({_norm('text')})")
+def exact_dedup(spark, d):
+    return dedup.exact_first(_docs(spark, d).select("doc_id", "text"), "text", "doc_id").where("first = doc_id").select("doc_id")
+
+
+@query(_SIGNED + "select doc_id, sig from sig")
+def minhash_signature(spark, d):
+    return _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "sha").alias("sig"))
+
+
+@query()
+def minhash_compat(spark, d):
+    return _docs(spark, d).select("doc_id", minhash.signature(F.col("text")).alias("sig"))
+
+
+@query()
+def minhash_independent(spark, d):
+    return _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "independent").alias("sig"))
+
+
+@query(
+    _SIGNED
+    + """, reps as (select sig, min(doc_id) as rep from sig group by sig),
+    b as (select rep, band, sig[band * 8 + 1:band * 8 + 8] as k from reps, range(8) t(band)),
+    cand as (select distinct x.rep as lo, y.rep as hi from b x join b y on x.band = y.band and x.k = y.k and x.rep < y.rep),
+    sim as (select lo, hi, len(list_filter(list_zip(l.sig, r.sig), lambda z: z[1] = z[2]))::double / 64 as similarity from cand join reps l on l.rep = lo join reps r on r.rep = hi)
+    select lo, hi, similarity from sim where similarity >= 0.85 union all select rep, doc_id, 1.0 from sig join reps using (sig) where doc_id <> rep"""
+)
+def lsh_pairs(spark, d):
+    return minhash.similar_pairs(_docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "sha").alias("sig")), "doc_id")
+
+
+def _near(spark, d, family):
+    signed = _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), family).alias("sig"))
+    return dedup.greedy_first_wins(signed, minhash.similar_pairs(signed, "doc_id"), "doc_id")
+
+
+@query()
+def near_dedup_greedy(spark, d):
+    return _near(spark, d, "compat")
+
+
+@query()
+def near_dedup_independent(spark, d):
+    return _near(spark, d, "independent")
+
+
+@query()
+def benchmark_overlap(spark, d):
+    return dedup.decontaminate(_docs(spark, d), "doc_id", "text", table(spark, d, "benchmark"), "text")
+
+
+@query(f"select distinct doc_id from documents where {_norm('text')} in (select {_norm('text')} from benchmark)")
+def benchmark_exact(spark, d):
+    b = table(spark, d, "benchmark").select(text.normalize(F.col("text")).alias("n")).distinct()
+    return _docs(spark, d).select("doc_id", text.normalize(F.col("text")).alias("n")).join(b, "n", "left_semi").select("doc_id")
+
+
+_LONG = 120
+
+
+@query(
+    f"""with n as (select doc_id, lang, {_norm('text')} as n, len({_WORDS}) as words from documents where text is not null),
+    f as (select *, min(doc_id) over (partition by n) as first from n),
+    r as (select doc_id, lang, {_split('doc_id::varchar')} as split, case when words > {_LONG} then 'too_long' when n in (select {_norm('text')} from benchmark) then 'benchmark_overlap' when first <> doc_id then 'duplicate' else 'accepted' end as reason from f)
+    select lang, split, reason, count(*) as n from r group by all"""
+)
+def funnel(spark, d):
+    docs = _docs(spark, d).withColumn("n", text.normalize(F.col("text")))
+    bench = table(spark, d, "benchmark").select(text.normalize(F.col("text")).alias("n")).distinct().withColumn("hit", F.lit(True))
+    judged = dedup.exact_first(docs.withColumn("words", F.size(text.words(F.col("text")))).select("doc_id", "lang", "n", "words"), "n", "doc_id").join(bench, "n", "left")
+    reason = stats.first_reason(too_long=F.col("words") > _LONG, benchmark_overlap=F.col("hit"), duplicate=F.col("first") != F.col("doc_id"))
+    return judged.groupBy("lang", hashing.hash_split(F.col("doc_id")).alias("split"), F.coalesce(reason, F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+# --- counts and statistics ------------------------------------------------------------------
+
+
+@query(
+    """with r as (select token_count as v, row_number() over (order by token_count) - 1 as i, count(*) over () as n from normalized_examples where token_count is not null)
+    select min(v)::bigint as min, min(v) filter (where i = floor((n - 1) * 0.5::double))::bigint as p50, min(v) filter (where i = floor((n - 1) * 0.9::double))::bigint as p90, min(v) filter (where i = floor((n - 1) * 0.99::double))::bigint as p99, max(v)::bigint as max from r"""
+)
+def token_stats(spark, d):
+    return stats.token_stats(table(spark, d, "normalized_examples"), "token_count")
+
+
+@query(
+    "\nunion all ".join(f"select '{c}' as dimension, {c} as value, count(*) as n from normalized_examples group by {c}" for c in ("source", "split", "language", "quality_tier"))
+)
+def manifest_counts(spark, d):
+    return stats.counts_by(table(spark, d, "normalized_examples"), ["source", "split", "language", "quality_tier"])
+
+
+@query("select source, count(*) as n, count(*) filter (where token_count > 8192) as dropped from normalized_examples group by source")
+def length_filter(spark, d):
+    return table(spark, d, "normalized_examples").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("token_count") > 8192).alias("dropped"))
+
+
+# --- conversations ---------------------------------------------------------------------------
+
+
+@query(
+    "select id, array_to_string([coalesce(m.content, '') for m in messages if m.role = 'user'], chr(10)) as user_text, array_to_string([coalesce(m.content, '') for m in messages if m.role in ('user', 'assistant')], chr(10)) as dedup_text from normalized_examples"
+)
+def role_texts(spark, d):
+    m = F.col("messages")
+    return table(spark, d, "normalized_examples").select("id", messages.role_text(m, ["user"]).alias("user_text"), messages.role_text(m, ["user", "assistant"]).alias("dedup_text"))
+
+
+@query(
+    """select id, case when coalesce(id, '') = '' or coalesce(source, '') = '' or coalesce(source_id, '') = '' then 'id, source, and source_id are required'
+    when split is null or split not in ('train', 'validation', 'test') then 'unsupported split' when token_count < 0 then 'negative token count' when messages is null or len(messages) = 0 or coalesce(messages[-1].role, '') <> 'assistant' then 'no assistant response at the end'
+    when len([1 for m in messages if coalesce(m.role, '') not in ('system', 'user', 'assistant', 'tool')]) > 0 then 'invalid role' when len([1 for m in messages if m.content is null]) > 0 then 'content is missing'
+    when coalesce(content_sha256, '') <> '' and content_sha256 <> sha256(to_json(list_transform(messages, lambda m: {'content': m.content, 'role': m.role}))::varchar) then 'hash does not match' end as violation from normalized_examples"""
+)
+def schema_violations(spark, d):
+    e = table(spark, d, "normalized_examples")
+    cols = {c: F.col(c) for c in ("id", "source", "source_id", "split", "token_count", "content_sha256")}
+    return e.select("id", messages.violation(F.col("messages"), **cols).alias("violation"))
+
+
+_MARK = "[7, 8]"
+
+
+@query(
+    """with e as (select o_orderkey as k, list(l_linenumber order by l_linenumber) as ids from orders join lineitem on l_orderkey = o_orderkey group by 1)
+    select k, [i - 1 for i in range(1, len(ids)) if ids[i] = 2 and ids[i + 1] = 3] as at, len([x for x in ids if x <> 4]) as supervised from e"""
+)
+def subsequences(spark, d):
+    e = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("o_orderkey").alias("k")).agg(F.sort_array(F.collect_list("l_linenumber")).alias("ids"))
+    needle = F.array(F.lit(2), F.lit(3))
+    return e.select("k", F.transform(arrays.positions(F.col("ids"), needle), lambda x: x.cast("long")).alias("at"), arrays.count_where(F.col("ids"), lambda x: x != 4).cast("long").alias("supervised"))
+
+
+# --- evaluation --------------------------------------------------------------------------------
+
+_ANSWER = "messages[-1].content"
+_RANKED = r"""list_filter(list_transform(string_split(answer, chr(10)), lambda x: trim(trim(regexp_replace(x, '^\s*(?:[-*]|\d+[.)])\s*', '')), '`''')), lambda x: x <> '')"""
+_RECALL = "case when len(list_distinct(expected)) > 0 then len(list_intersect(list_distinct(expected), ranked[1:{k}]))::double / len(list_distinct(expected)) else 0.0 end"
+
+
+@query(
+    f"""with a as (select distinct on (id) id, task_type, {_ANSWER} as answer, coalesce(case task_type when 'file_localization' then metadata.changed_files else metadata.functions end, []) as expected
+      from normalized_examples where task_type in ('file_localization', 'function_localization') and {_ANSWER} is not null order by id),
+    r as (select id, task_type, expected, {_RANKED} as ranked from a)
+    select id, {', '.join(f'{_RECALL.format(k=k)} as recall_at_{k}' for k in (1, 3, 5))} from r"""
+)
+def recall_at_k(spark, d):
+    e = table(spark, d, "normalized_examples").where("task_type in ('file_localization', 'function_localization')")
+    e = e.select("id", "task_type", F.element_at("messages", -1)["content"].alias("response"), F.struct("metadata.changed_files", "metadata.functions").alias("metadata")).where("response is not null").dropDuplicates(["id"])
+    s = evaluation.score(e)
+    return s.select("id", *[F.coalesce(f"file_recall_at_{k}", f"function_recall_at_{k}").alias(f"recall_at_{k}") for k in (1, 3, 5)])
+
+
+@query()
+def eval_summary(spark, d):
+    e = table(spark, d, "normalized_examples").select("id", "task_type", F.element_at("messages", -1)["content"].alias("response"), "metadata").where("response is not null").dropDuplicates(["id"])
+    return evaluation.summary(evaluation.score(e))
+
+
+_REPORTS = [
+    ("baseline", "benchmarks", "humaneval_plus_pass_at_1", 0.20), ("baseline", "benchmarks", "mbpp_plus_pass_at_1", 0.30), ("candidate", "benchmarks", "humaneval_plus_pass_at_1", 0.22),
+    ("candidate", "", "mbpp_plus_pass_at_1", 0.31), ("candidate", "benchmarks", "mbpp_plus_pass_at_1", 0.05), ("candidate", "smoke", "finite_validation_loss", 1.0),
+    ("candidate", "smoke", "repetition_regression", 0.0), ("candidate", "smoke", "termination_regression", 0.0),
+]
+
+
+@query(
+    f"""with r as (select * from (values {', '.join(f"('{a}', '{b}', '{c}', {v}::double)" for a, b, c, v in _REPORTS)}) t(report, section, metric, value)),
+    m as (select report, metric, arg_min(value, list_position(['', 'benchmarks', 'metrics', 'repo', 'smoke'], section)) as v from r group by all),
+    p as (select max(v) filter (where report = 'baseline' and metric like 'humaneval%') as bh, max(v) filter (where report = 'baseline' and metric like 'mbpp%') as bm, max(v) filter (where report = 'candidate' and metric like 'humaneval%') as ch,
+      max(v) filter (where report = 'candidate' and metric like 'mbpp%') as cm, max(v) filter (where metric = 'finite_validation_loss') as f, max(v) filter (where metric = 'repetition_regression') as rr, max(v) filter (where metric = 'termination_regression') as tr from m),
+    c as (select 'core_average_gain_at_least_1pp' as check_name, (ch + cm) / 2 - (bh + bm) / 2 >= 0.01 as passed from p union all select 'no_core_regression_over_2pp', greatest(bh - ch, bm - cm) <= 0.02 from p union all select 'finite_validation_loss', f <> 0 from p
+      union all select 'no_repetition_regression', rr = 0 from p union all select 'no_termination_regression', tr = 0 from p)
+    select * from c union all select 'all', bool_and(passed) from c"""
+)
+def gate_compare(spark, d):
+    return gates.compare(spark.createDataFrame(_REPORTS, "report string, section string, metric string, value double"), "stage1")
+
+
+@query(
+    """with p as (select event_id, (event_id % 7 + 1) * 1000 as length, value > 20 as success, (event_id % 13)::double / 50 as headroom_fraction, event_type from events)
+    select coalesce(max(length) filter (where success and headroom_fraction >= 0.1), 0)::int as selected from p"""
+)
+def largest_passing(spark, d):
+    e = table(spark, d, "events")
+    return gates.largest_passing(e.select(((F.col("event_id") % 7 + 1) * 1000).alias("length"), (F.col("value") > 20).alias("success"), ((F.col("event_id") % 13) / 50).alias("headroom_fraction")))
+
+
+@query(
+    "select case when split_part(p_name, ' ', 1) = '' then 'other' else 'other' end as family, count(*) as modules, sum(case when p_size > 25 then p_partkey else 0 end)::bigint as trainable, sum(p_partkey)::bigint as total from part group by 1"
+)
+def parameter_audit(spark, d):
+    return gates.parameter_audit(table(spark, d, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("numel"), (F.col("p_size") > 25).alias("trainable")))
+
+
+@query("select c_name as name from customer where c_acctbal <= 5000 order by c_acctbal desc, c_name desc limit 1")
+def select_profile(spark, d):
+    return gates.select_profile(table(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("min_vram_gb")), 5000.0)
+
+
+@query(
+    """with l as (select commit || '/' || new_file as name, sha256(coalesce(old_contents, '')) as sha256, length(coalesce(old_contents, '')) as bytes from (select distinct on (commit, new_file) * from commit_rows order by commit, new_file, loaded_at)),
+    r as (select commit || '/' || new_file as name, sha256(coalesce(new_contents, '')) as sha256, length(coalesce(new_contents, '')) as bytes from (select distinct on (commit, new_file) * from commit_rows order by commit, new_file, loaded_at) where length(commit) > 0)
+    select l.name from l join r using (name) where l.sha256 <> r.sha256 or l.bytes <> r.bytes"""
+)
+def bundle_differences(spark, d):
+    c = table(spark, d, "commit_rows").dropDuplicates(["commit", "new_file", "old_contents", "new_contents"])
+    side = lambda x: c.select(F.concat("commit", F.lit("/"), "new_file").alias("name"), F.sha2(F.coalesce(x, F.lit("")), 256).alias("sha256"), F.length(F.coalesce(x, F.lit(""))).alias("bytes"))
+    return writers.bundle_differences(side("old_contents"), side("new_contents")).where("name is not null")
+
+
+# --- pipelines -----------------------------------------------------------------------------------
+
+
+@query()
+def instruction_examples(spark, d):
+    rows = mixture.with_tier(mixture.latest(table(spark, d, "instruction_rows"), ["id"])).where("tier is not null")
+    return mixture.instruction_examples(rows, "eer6_broad", F.col("tier"))
+
+
+@query()
+def commit_examples(spark, d):
+    return mixture.commit_examples(mixture.latest(table(spark, d, "commit_rows"), ["commit", "new_file"]))
+
+
+def _benchmark(spark, d):
+    return table(spark, d, "benchmark").select("text")
+
+
+@query()
+def accepted(spark, d):
+    rows = mixture.instruction_examples(mixture.latest(table(spark, d, "instruction_rows"), ["id"]), "eer6_refined", F.lit("refined"))
+    some = sampling.priority_sample(rows, F.col("source_id"), 300, tie="id")
+    ranked = some.withColumn("rank", F.row_number().over(W.orderBy(hashing.hash_hex(F.col("source_id")), "id")).cast("long"))
+    return accepting.accept(ranked, _benchmark(spark, d), "text", 400, 150).select("id", "rank", "reason")
+
+
+@query()
+def mixture_manifest(spark, d):
+    rows = table(spark, d, "instruction_rows")
+    counts = {"refined": 60, "broad": 40, "commits": 40}
+    examples, _ = mixture.mixture(rows, rows, table(spark, d, "commit_rows"), _benchmark(spark, d), "text", counts, TIERS, LANGUAGES, 2048)
+    return stats.counts_by(examples, ["source", "split", "language", "quality_tier"])
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query of the core by name."""
+    return dict(_Q)
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL of the queries that SQL can express."""
+    return dict(_SQL)

@@ -109,7 +109,7 @@ def mixture(refined: DataFrame, broad: DataFrame, commits: DataFrame, benchmark:
     lang = language.infer_language(F.lit(""), F.coalesce("lang", F.lit("unknown")))
     named = durable(latest(commits, ["commit", "new_file"]).withColumn("_lang", lang))
     for i, (name, n) in enumerate(quotas.items()):
-        some = sampling.priority_sample(named.where(F.col("_lang") == name), sampling.sample_key("commit"), draw(n, multiplier), seed, "new_file")
+        some = sampling.priority_sample(named.where(F.col("_lang") == name), sampling.sample_key(named, "commit"), draw(n, multiplier), seed, "new_file")
         ranked = _ranked(commit_examples(some, seed), F.col("source_id"), seed, (100 + i) * step)
         pool.append(take(ranked, None).withColumn("_quota_of", F.lit(name)))
     out = [j.where("reason is null").drop("reason", "rank") for j in judged[: 1 + len(targets)]]
