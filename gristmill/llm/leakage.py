@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 #: Consecutive words that make a leak.
 RUN = 12
 #: Words of a passage; neighbours overlap by RUN - 1, so every run lies inside one.
-PASSAGE = 60
+PASSAGE = 24
 #: Items of a block of postings.
-BLOCK = 8
+BLOCK = 4
+#: Documents whose passages are looked up together.
+DOCS_AT_ONCE = 128
 #: The index is held by every worker; a test set beyond this many characters is refused.
 MAX_ITEM_CHARS = 200_000_000
 K1, B = 1.2, 0.75
@@ -78,7 +80,12 @@ def readings(text: str | None) -> list[list[str]]:
             other = pattern.sub(r"\1 ", base)
             if other not in out:
                 out.append(other)
-    return [_WORD.findall(t) for t in out]
+    read = []
+    for t in out:
+        words = _WORD.findall(t)
+        if words not in read:
+            read.append(words)
+    return read
 
 
 class ItemIndex:
@@ -149,16 +156,24 @@ class ItemIndex:
         total = np.bincount(inverse, weights=self.score[at])
         return [(int(x // n), int(x % n)) for x in pair[total >= self.least[pair % n]]]
 
-    def leaks(self, words: list[str], found: dict[int, set]) -> None:
-        """Add to ``found`` the items of which ``words`` holds a run, with the starts of the runs."""
+    def leaks(self, sequences: list[list[str]]) -> list[dict[int, set]]:
+        """For each word sequence, the items of which it holds a run, with the starts of the runs.
+
+        All passages of all sequences are one batch of queries.
+        """
         step = PASSAGE - self.run + 1
-        starts = range(0, max(1, len(words) - self.run + 1), step)
-        passages = [words[s : s + PASSAGE] for s in starts]
+        passages, origin = [], []
+        for r, words in enumerate(sequences):
+            for s in range(0, max(1, len(words) - self.run + 1), step):
+                passages.append(words[s : s + PASSAGE])
+                origin.append((r, s))
+        found: list[dict[int, set]] = [{} for _ in sequences]
         for p, d in self.retrieve(passages):
-            s, passage = starts[p], passages[p]
+            (r, s), passage = origin[p], passages[p]
             for k in range(len(passage) - self.run + 1):
                 if tuple(passage[k : k + self.run]) in self.runs[d]:
-                    found.setdefault(d, set()).add(s + k)
+                    found[r].setdefault(d, set()).add(s + k)
+        return found
 
 
 def item_index(benchmark: DataFrame, run: int = RUN) -> ItemIndex:
@@ -184,19 +199,19 @@ def leaks(documents: DataFrame, index: ItemIndex) -> DataFrame:
         ix = shared.value
         for b in batches:
             out = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                best: dict[int, tuple] = {}
-                for words in readings(text):
-                    found: dict[int, set] = {}
-                    ix.leaks(words, found)
-                    for d, at in found.items():
+            for at in range(0, b.num_rows, DOCS_AT_ONCE):
+                part = b.slice(at, DOCS_AT_ONCE)
+                read = [(i, words) for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) for words in readings(text)]
+                best: dict[tuple, tuple] = {}
+                for (doc_id, words), found in zip(read, ix.leaks([w for _, w in read])):
+                    for d, starts in found.items():
                         longest = stretch = 0
-                        for k in sorted(at):
-                            stretch = stretch + 1 if k - 1 in at else 1
+                        for k in sorted(starts):
+                            stretch = stretch + 1 if k - 1 in starts else 1
                             longest = max(longest, stretch)
-                        seen = {tuple(words[k : k + ix.run]) for k in at}
-                        best[d] = max(best.get(d, (0, 0.0)), (longest + ix.run - 1, len(seen) / len(ix.runs[d])))
-                out += [(doc_id, ix.items[d][0], *v) for d, v in best.items()]
+                        seen = {tuple(words[k : k + ix.run]) for k in starts}
+                        best[doc_id, d] = max(best.get((doc_id, d), (0, 0.0)), (longest + ix.run - 1, len(seen) / len(ix.runs[d])))
+                out += [(i, ix.items[d][0], *v) for (i, d), v in best.items()]
             cols = list(zip(*out)) if out else [(), (), (), ()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.float64()))], names=["doc_id", "item_id", "run_words", "item_share"])
 
