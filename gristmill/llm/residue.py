@@ -134,20 +134,34 @@ _HASHES = _Hashes()
 _P1, _P2, _P3 = 0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D
 
 
-def features(line: Line, first: bool, doc_lines: int, doc_chars: int) -> np.ndarray:
-    """Hash buckets of a line: word 1- to 3-grams, slot marks, its place as a title, and lengths by octave."""
+#: Words that are judged at once, and the step from one piece of a longer line to the next.
+PIECE, STEP = 80, 40
+
+
+def pieces(n: int) -> range:
+    """Where the overlapping pieces of a line of ``n`` words begin; together they hold every word."""
+    return range(0, max(1, n - STEP), STEP)
+
+
+def features(line: Line, first: bool, doc_lines: int, doc_chars: int) -> list[np.ndarray]:
+    """Hash buckets of each piece of a line: word 1- to 3-grams, slot marks, its place as a title, and lengths by octave."""
     bare = _SLOT.sub(" SLOT ", line.bare) if line.slot else line.bare
-    words = [("0" * min(len(w), 4) if w.isdigit() else w) for w in _TOKEN.findall(bare.lower())[:80]]
+    words = [("0" * min(len(w), 4) if w.isdigit() else w) for w in _TOKEN.findall(bare.lower())]
     h = np.fromiter(map(_HASHES.__getitem__, words), np.int64, len(words))
     pairs_ = (h[:-1] * _P1 + h[1:] * _P2) >> 7
     triples = (h[:-2] * _P1 + h[1:-1] * _P2 + h[2:] * _P3) >> 9
     n = len(words)
-    extra = [f"^ {' '.join(words[:2])}", f"$ {' '.join(words[-2:])}", f"LEN {n.bit_length()}", f"LINES {doc_lines.bit_length()}", f"CHARS {doc_chars.bit_length()}", f"TITLE {first} {line.text.startswith('#')}"]
+    extra = [f"LEN {n.bit_length()}", f"LINES {doc_lines.bit_length()}", f"CHARS {doc_chars.bit_length()}", f"TITLE {first} {line.text.startswith('#')}"]
     if line.slot:
         extra += ["SLOT?", f"SLOT {line.about}"]
     if line.about:
         extra.append("ABOUT?")
-    return np.unique(np.concatenate([h, pairs_, triples, [_HASHES[x] for x in extra]]) & (BUCKETS - 1)).astype(np.int32)
+    out = []
+    for i in pieces(n):
+        ends = ([f"^ {' '.join(words[:2])}"] if i == 0 else []) + ([f"$ {' '.join(words[-2:])}"] if i + PIECE >= n else [])
+        grams = [h[i : i + PIECE], pairs_[i : i + PIECE - 1], triples[i : i + PIECE - 2], [_HASHES[x] for x in extra + ends]]
+        out.append(np.unique(np.concatenate(grams) & (BUCKETS - 1)).astype(np.int32))
+    return out
 
 
 #: Buckets that tell which weak label a line has; hidden from the classifier for three of ten training lines.
@@ -170,11 +184,22 @@ class Residue:
         return p / p.sum()
 
 
-def _rows_of(text: str) -> list[tuple[Line, np.ndarray]]:
+def _rows_of(text: str) -> list[tuple[Line, list[np.ndarray]]]:
     lines = [facts(x) for x in visible_lines(text)]
     return [(x, features(x, i == 0, len(lines), len(text))) for i, x in enumerate(lines)]
 
 
+def _named_pieces(line: Line, n: int) -> list[bool]:
+    """Of the ``n`` pieces of a line, those that its weak label speaks of: all of a plain line, else the ones with the slot or phrase."""
+    if n == 1 or line.hint == 0:
+        return [True] * n
+    pattern = re.compile(r"\bslot\b") if line.slot else _WEAK_RE[KINDS[line.hint]]
+    low = (_SLOT.sub(" SLOT ", line.bare) if line.slot else line.bare).lower()
+    spans = [m.span() for m in _TOKEN.finditer(low)]
+    parts = [low[spans[i][0] : spans[min(i + PIECE, len(spans)) - 1][1]] for i in pieces(len(spans))]
+    return [pattern.search(x) is not None for x in parts]
+
+
 def fit(texts: list[str], seed: int = 3407) -> Residue:
     """Multinomial logistic regression with a ridge penalty, by AdaGrad over shuffled lines."""
     xs, ys, seen = [], [], {}
@@ -189,8 +214,9 @@ def fit(texts: list[str], seed: int = 3407) -> Residue:
                     continue
             if seen.setdefault(key, 0) < 5:
                 seen[key] += 1
-                xs.append(x)
-                ys.append(y)
+                named = _named_pieces(line, len(x))
+                xs += [v for v, here in zip(x, named) if here]
+                ys += [y] * sum(named)
     k = len(KINDS)
     w, b = np.zeros((k, BUCKETS + k)), np.zeros(k)
     gw = np.full((k, BUCKETS + k), 1e-6)
@@ -217,6 +243,20 @@ def fit(texts: list[str], seed: int = 3407) -> Residue:
     return Residue(w.astype(np.float32), b)
 
 
+def piece_kinds(model: Residue, line: Line, xs: list[np.ndarray]) -> list[int]:
+    """Kind of each piece of a line, as a number."""
+    kinds = []
+    for x in xs:
+        chances = model.chances(np.append(x, _HINTS[line.hint]))
+        k = line.hint if line.hint and chances[line.hint] >= SUPPORTED else int(chances.argmax())
+        if k != line.hint and chances[k] < UNSUPPORTED:
+            k = 0
+        if k == 1 and not line.slot:
+            k = 0  # a placeholder is seen: the exact check of the slot
+        kinds.append(k)
+    return kinds
+
+
 def judge(model: Residue, text: str | None) -> str | None:
     """Kind of a document, None for real content; null and blank texts are real (they are not residue)."""
     if not text or not text.strip():
@@ -224,16 +264,12 @@ def judge(model: Residue, text: str | None) -> str | None:
     rows = _rows_of(text)
     letters = {k: 0 for k in range(len(KINDS))}
     certain = {k: False for k in range(len(KINDS))}
-    for line, x in rows:
-        chances = model.chances(np.append(x, _HINTS[line.hint]))
-        k = line.hint if line.hint and chances[line.hint] >= SUPPORTED else int(chances.argmax())
-        if k != line.hint and chances[k] < UNSUPPORTED:
-            k = 0
-        if k == 1 and not line.slot:
-            k = 0  # a placeholder is seen: the exact check of the slot
-        if not _RULES.match(line.text):
-            letters[k] += len(line.text)
-        certain[k] = True
+    for line, xs in rows:
+        kinds = piece_kinds(model, line, xs)
+        for k in kinds:
+            if not _RULES.match(line.text):
+                letters[k] += len(line.text) / len(kinds)
+            certain[k] = True
     if certain[1]:
         return "placeholder"
     whole = sum(letters.values())
@@ -292,8 +328,9 @@ def validation(documents: DataFrame, model: Residue) -> DataFrame:
         for b in batches:
             n = {}
             for text in b.column(0).to_pylist():
-                for line, x in _rows_of(text):
-                    want, got = line.hint, int(m.chances(x).argmax())
+                for line, xs in _rows_of(text):
+                    kinds = [(c.max(), int(c.argmax())) for c in map(m.chances, xs)]
+                    want, got = line.hint, max((x for x in kinds if x[1]), default=(0, 0))[1]  # of a piece that is not plain, the surest
                     n[(KINDS[want], KINDS[got])] = n.get((KINDS[want], KINDS[got]), 0) + 1
             yield pa.record_batch([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["weak", "kind", "lines"])
 

@@ -1,0 +1,17 @@
+"""Cases in which a part of a job was left out."""
+
+from gristmill.llm import residue
+
+
+def _real(n):
+    words = "the cache keeps rows and reads a block before it sorts each index again while callers wait for that store".split()
+    return " ".join(words[(i * 7 + i // 5) % len(words)] for i in range(n))
+
+
+def test_residue_late_in_a_long_line():
+    line = residue.facts(f"{_real(200)} zzz yyy")
+    xs = residue.features(line, True, 1, 1000)
+    late = residue.features(residue.facts("zzz yyy"), True, 1, 1000)[0]
+    grams = set(late) & set(xs[-1])
+    assert {residue._HASHES[w] & (residue.BUCKETS - 1) for w in ("zzz", "yyy")} <= grams
+    assert [list(residue.pieces(n)) for n in (0, 80, 81, 121)] == [[0], [0], [0, 40], [0, 40, 80]]
