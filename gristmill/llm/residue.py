@@ -4,7 +4,9 @@ A regularized linear classifier on hashed n-grams, length and title features
 judges the lines of a document.  It is trained here, on weak labels from
 response-status and phrase patterns over a bounded sample of lines, and is
 validated on hosts that the training has not seen.  Lines in code, in quotes or
-about such things are what it has to tell from the real ones.  A document gets
+about such things are what it has to tell from the real ones.  The patterns are
+labels and never an input: the classifier sees n-grams, lengths and the title
+place only, so it carries on to wording that no pattern lists.  A document gets
 its kind from its lines: real paragraphs beside placeholders or filler do not
 redeem it, but an error page or notice must be what the document consists of.
 """
@@ -79,6 +81,9 @@ def _stripped(line: str) -> str:
     return _QUOTED.sub(" QUOTED ", _INLINE.sub(" CODE ", whole))
 
 
+# What any slot looks like, whatever its language; for lines that the classifier takes for placeholders.
+_SHAPE = re.compile(r"\{+\s*[A-Za-z][\w.\- ]{0,60}\}+|<[A-Za-z][\w .,'-]{0,60}>|\[+\s*[A-Za-z][\w .,'?-]{0,70}\]+(?!\()|\(+[A-Za-z][\w .,'-]{1,70}\)+|([%@$#~^|_])\1?[A-Za-z]\w*?\1+(?!\w)|(?<!\w)([A-Z])\2{3,}(?!\w)")
+
 #: A slot has one of these; most lines have none, and the slot syntaxes need not be tried.
 _MAY_BE_SLOT = re.compile(r"[{$\[#<%@(:]|__|XXXX")
 
@@ -144,18 +149,13 @@ def pieces(n: int) -> range:
 
 
 def features(line: Line, first: bool, doc_lines: int, doc_chars: int) -> list[np.ndarray]:
-    """Hash buckets of each piece of a line: word 1- to 3-grams, slot marks, its place as a title, and lengths by octave."""
-    bare = _SLOT.sub(" SLOT ", line.bare) if line.slot else line.bare
-    words = [("0" * min(len(w), 4) if w.isdigit() else w) for w in _TOKEN.findall(bare.lower())]
+    """Hash buckets of each piece of a line: word 1- to 3-grams, its place as a title, and lengths by octave."""
+    words = [("0" * min(len(w), 4) if w.isdigit() else w) for w in _TOKEN.findall(line.bare.lower())]
     h = np.fromiter(map(_HASHES.__getitem__, words), np.int64, len(words))
     pairs_ = (h[:-1] * _P1 + h[1:] * _P2) >> 7
     triples = (h[:-2] * _P1 + h[1:-1] * _P2 + h[2:] * _P3) >> 9
     n = len(words)
     extra = [f"LEN {n.bit_length()}", f"LINES {doc_lines.bit_length()}", f"CHARS {doc_chars.bit_length()}", f"TITLE {first} {line.text.startswith('#')}"]
-    if line.slot:
-        extra += ["SLOT?", f"SLOT {line.about}"]
-    if line.about:
-        extra.append("ABOUT?")
     out = []
     for i in pieces(n):
         ends = ([f"^ {' '.join(words[:2])}"] if i == 0 else []) + ([f"$ {' '.join(words[-2:])}"] if i + PIECE >= n else [])
@@ -164,10 +164,8 @@ def features(line: Line, first: bool, doc_lines: int, doc_chars: int) -> list[np
     return out
 
 
-#: Buckets that tell which weak label a line has; hidden from the classifier for three of ten training lines.
-_HINTS = BUCKETS + np.arange(len(KINDS))
-#: Probability from which a line counts as residue: of the kind a pattern names, and without such support.
-SUPPORTED, UNSUPPORTED = 0.2, 0.9
+#: Probability from which a line is residue that no pattern names.
+UNNAMED = 0.9
 
 
 @dataclass
@@ -193,10 +191,10 @@ def _named_pieces(line: Line, n: int) -> list[bool]:
     """Of the ``n`` pieces of a line, those that its weak label speaks of: all of a plain line, else the ones with the slot or phrase."""
     if n == 1 or line.hint == 0:
         return [True] * n
-    pattern = re.compile(r"\bslot\b") if line.slot else _WEAK_RE[KINDS[line.hint]]
-    low = (_SLOT.sub(" SLOT ", line.bare) if line.slot else line.bare).lower()
-    spans = [m.span() for m in _TOKEN.finditer(low)]
-    parts = [low[spans[i][0] : spans[min(i + PIECE, len(spans)) - 1][1]] for i in pieces(len(spans))]
+    pattern = _SLOT if line.slot else _WEAK_RE[KINDS[line.hint]]
+    text = line.bare if len(line.bare.lower()) == len(line.bare) else line.bare.lower()  # words are counted as in features()
+    spans = [m.span() for m in _TOKEN.finditer(line.bare.lower())]
+    parts = [text[spans[i][0] : spans[min(i + PIECE, len(spans)) - 1][1]] for i in pieces(len(spans))]
     return [pattern.search(x) is not None for x in parts]
 
 
@@ -206,7 +204,11 @@ def fit(texts: list[str], seed: int = 3407) -> Residue:
     rng = np.random.default_rng(seed)
     plain = 0
     for text in texts:
-        for line, x in _rows_of(text):
+        rows = _rows_of(text)
+        named = any(line.hint for line, _ in rows)
+        for line, x in rows:
+            if named and line.hint == 0:
+                continue  # beside residue, a line that no pattern names may be residue as well
             key, y = re.sub(r"\d+", "0", line.text), line.hint
             if y == 0:
                 plain += 1
@@ -214,12 +216,12 @@ def fit(texts: list[str], seed: int = 3407) -> Residue:
                     continue
             if seen.setdefault(key, 0) < 5:
                 seen[key] += 1
-                named = _named_pieces(line, len(x))
-                xs += [v for v, here in zip(x, named) if here]
-                ys += [y] * sum(named)
+                mine = [v for v, here in zip(x, _named_pieces(line, len(x))) if here]
+                xs += mine
+                ys += [y] * len(mine)
     k = len(KINDS)
-    w, b = np.zeros((k, BUCKETS + k)), np.zeros(k)
-    gw = np.full((k, BUCKETS + k), 1e-6)
+    w, b = np.zeros((k, BUCKETS)), np.zeros(k)
+    gw = np.full((k, BUCKETS), 1e-6)
     counts = np.bincount(ys, minlength=k) if ys else np.ones(k)
     heft = np.sqrt(counts.max() / np.maximum(counts, 1)).clip(1, 8)
     common = np.array([i for i, y in enumerate(ys) if y == 0])
@@ -230,8 +232,6 @@ def fit(texts: list[str], seed: int = 3407) -> Residue:
         rng.shuffle(order)
         for i in order:
             x, y = xs[i], ys[i]
-            if rng.random() < 0.7:
-                x = np.append(x, _HINTS[y])
             z = w[:, x].sum(axis=1) + b
             p = np.exp(z - z.max())
             p /= p.sum()
@@ -243,17 +243,21 @@ def fit(texts: list[str], seed: int = 3407) -> Residue:
     return Residue(w.astype(np.float32), b)
 
 
-def piece_kinds(model: Residue, line: Line, xs: list[np.ndarray]) -> list[int]:
-    """Kind of each piece of a line, as a number."""
+def piece_kinds(model: Residue, line: Line, xs: list[np.ndarray], labels: bool = True) -> list[tuple[int, int]]:
+    """Kind of each piece of a line, as a number: what a pattern names, else what the classifier is sure of; and the likeliest kind.
+
+    A placeholder needs a slot.  Without ``labels`` the classifier stands alone.
+    """
+    named = _named_pieces(line, len(xs)) if labels and line.hint else [False] * len(xs)
+    if labels and line.hint and not any(named):
+        named = [True] * len(xs)  # a pattern reaches over more than a piece
     kinds = []
-    for x in xs:
-        chances = model.chances(np.append(x, _HINTS[line.hint]))
-        k = line.hint if line.hint and chances[line.hint] >= SUPPORTED else int(chances.argmax())
-        if k != line.hint and chances[k] < UNSUPPORTED:
+    for x, here in zip(xs, named):
+        chances = model.chances(x)
+        k = likely = line.hint if here else int(chances.argmax())
+        if not here and (chances[k] < UNNAMED or k == 1 and not line.slot and not _SHAPE.search(line.bare)):
             k = 0
-        if k == 1 and not line.slot:
-            k = 0  # a placeholder is seen: the exact check of the slot
-        kinds.append(k)
+        kinds.append((k, likely))
     return kinds
 
 
@@ -266,9 +270,9 @@ def judge(model: Residue, text: str | None) -> str | None:
     certain = {k: False for k in range(len(KINDS))}
     for line, xs in rows:
         kinds = piece_kinds(model, line, xs)
-        for k in kinds:
+        for k, likely in kinds:
             if not _RULES.match(line.text):
-                letters[k] += len(line.text) / len(kinds)
+                letters[likely] += len(line.text) / len(kinds)
             certain[k] = True
     if certain[1]:
         return "placeholder"
@@ -320,7 +324,7 @@ def residue(documents: DataFrame, model: Residue) -> DataFrame:
 
 
 def validation(documents: DataFrame, model: Residue) -> DataFrame:
-    """``kind, lines, agree`` of the classifier against the weak labels, on lines of hosts it has not seen."""
+    """``weak, kind, alone, lines``: the rule of :func:`judge`, and the classifier alone, against the weak labels, on lines of hosts unseen in training."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def compare(batches):
@@ -329,10 +333,10 @@ def validation(documents: DataFrame, model: Residue) -> DataFrame:
             n = {}
             for text in b.column(0).to_pylist():
                 for line, xs in _rows_of(text):
-                    kinds = [(c.max(), int(c.argmax())) for c in map(m.chances, xs)]
-                    want, got = line.hint, max((x for x in kinds if x[1]), default=(0, 0))[1]  # of a piece that is not plain, the surest
-                    n[(KINDS[want], KINDS[got])] = n.get((KINDS[want], KINDS[got]), 0) + 1
-            yield pa.record_batch([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["weak", "kind", "lines"])
+                    key = KINDS[line.hint], *(KINDS[max(piece_kinds(m, line, xs, labels))[0]] for labels in (True, False))
+                    n[key] = n.get(key, 0) + 1
+            names = ["weak", "kind", "alone"]
+            yield pa.record_batch([*(pa.array([k[i] for k in n], pa.string()) for i in range(3)), pa.array(list(n.values()), pa.int64())], names=[*names, "lines"])
 
     unseen = documents.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64(host(documents)), F.lit(HELD_OUT)) == 0)).select("text")
-    return unseen.mapInArrow(compare, "weak string, kind string, lines long").groupBy("weak", "kind").agg(F.sum("lines").alias("lines"))
+    return unseen.mapInArrow(compare, "weak string, kind string, alone string, lines long").groupBy("weak", "kind", "alone").agg(F.sum("lines").alias("lines"))

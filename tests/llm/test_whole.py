@@ -15,3 +15,14 @@ def test_residue_late_in_a_long_line():
     grams = set(late) & set(xs[-1])
     assert {residue._HASHES[w] & (residue.BUCKETS - 1) for w in ("zzz", "yyy")} <= grams
     assert [list(residue.pieces(n)) for n in (0, 80, 81, 121)] == [[0], [0], [0, 40], [0, 40, 80]]
+
+
+def test_residue_in_wording_that_no_pattern_lists():
+    latin = ["Lorem ipsum dolor sit amet consectetur elit sed", "Lorem ipsum elit sed dolor sit amet consectetur"]
+    docs = [f"{_real(20 + i)}\n\n{_real(12 + i)}" for i in range(60)] + [f"# Title\n\n{latin[i % 2]} {i}." for i in range(30)] + [f"# {{{{ name_{i} }}}}\n\n{{{{ name_{i + 1} }}}}" for i in range(30)]
+    model = residue.fit(docs)
+    unlisted = "Sit amet dolor consectetur elit sed ipsum dolor sit amet."
+    assert residue.weak_label(unlisted) == 0 and residue.judge(model, unlisted) == "filler"
+    assert residue.judge(model, f"{_real(200)} {" ".join([unlisted] * 4)}") == "filler"
+    assert residue.weak_label("{name_7}") == 0 and residue.judge(model, "# {name_7}\n\n{name_8}") == "placeholder"
+    assert residue.judge(model, f"{_real(30)}\n\n{_real(200)}") is None
