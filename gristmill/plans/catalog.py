@@ -531,19 +531,22 @@ def _benchmark(spark, d):
     return table(spark, d, "benchmark").select("text")
 
 
+#: Rows of each source and tokens of an example at most, as in the reference's configuration of stage 1.
+COUNTS, MAX_TOKENS = {"refined": 35_000, "broad": 15_000, "commits": 10_000}, 8192
+
+
 @query()
 def accepted(spark, d):
     rows = mixture.instruction_examples(mixture.latest(table(spark, d, "instruction_rows"), ["id"]), "eer6_refined", F.lit("refined"))
-    some = sampling.priority_sample(rows, F.col("source_id"), 300, tie="id")
-    ranked = some.withColumn("rank", F.row_number().over(W.orderBy(hashing.hash_hex(F.col("source_id")), "id")).cast("long"))
-    return accepting.accept(ranked, _benchmark(spark, d), "text", 400, 150).select("id", "rank", "reason")
+    # ids and hashes alone are put in one order; the texts stay where they are
+    ranks = rows.select("id", F.row_number().over(W.orderBy(hashing.hash_hex(F.col("source_id")), "id")).cast("long").alias("rank"))
+    return accepting.accept(rows.join(ranks, "id"), _benchmark(spark, d), "text", MAX_TOKENS, None).select("id", "rank", "reason")
 
 
 @query()
 def mixture_manifest(spark, d):
     rows = table(spark, d, "instruction_rows")
-    counts = {"refined": 60, "broad": 40, "commits": 40}
-    examples, _ = mixture.mixture(rows, rows, table(spark, d, "commit_rows"), _benchmark(spark, d), "text", counts, TIERS, LANGUAGES, 2048)
+    examples, _ = mixture.mixture(rows, rows, table(spark, d, "commit_rows"), _benchmark(spark, d), "text", COUNTS, TIERS, LANGUAGES, MAX_TOKENS, 1.5)
     return stats.counts_by(examples, ["source", "split", "language", "quality_tier"])
 
 
