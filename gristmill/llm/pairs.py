@@ -217,7 +217,6 @@ def breaks_off(answer: str, question: str) -> bool:
         return True
     if re.search(r"<!--(?!.*-->)|<[a-zA-Z/][^<>]*$", last) and not re.search(r"\s<\s", last):
         return True
-    words = _WORD.findall(tail)
     if item and re.fullmatch(r"[\w./\\:<>~$-]+", item.group(1).strip()):
         token = item.group(1).strip()
         if re.search(rf"(?<![\w./]){re.escape(token)}(?![\w./-]|\.\w)", question):
@@ -225,8 +224,6 @@ def breaks_off(answer: str, question: str) -> bool:
         return re.search(rf"(?<![\w./]){re.escape(token)}[\w./-]", question) is not None or ("/" in token and "." not in token.rsplit("/", 1)[-1])
     if _INLINE.sub("", last).count("`") % 2:
         return True
-    if len(words) < 4:
-        return False
     plain = _INLINE.sub("x", last)
     opened: list[str] = []
     for c in plain:
@@ -236,6 +233,8 @@ def breaks_off(answer: str, question: str) -> bool:
             opened.pop()
     if opened or plain.count('"') % 2:
         return True
+    if len(_WORD.findall(text)) < 4:
+        return False  # a short value; words after a code block are not one
     if last.rstrip().endswith(_ENDS):
         return last.rstrip().endswith((":", ";")) or (last.rstrip()[-1] in "*" and plain.count("*") % 2 == 1)
     return True

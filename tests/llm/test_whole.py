@@ -1,6 +1,6 @@
 """Cases in which a part of a job was left out."""
 
-from gristmill.llm import residue
+from gristmill.llm import pairs, residue
 
 
 def _real(n):
@@ -26,3 +26,9 @@ def test_residue_in_wording_that_no_pattern_lists():
     assert residue.judge(model, f"{_real(200)} {" ".join([unlisted] * 4)}") == "filler"
     assert residue.weak_label("{name_7}") == 0 and residue.judge(model, "# {name_7}\n\n{name_8}") == "placeholder"
     assert residue.judge(model, f"{_real(30)}\n\n{_real(200)}") is None
+
+
+def test_answer_cut_right_after_a_code_block():
+    code = "Use this loop to add the values:\n\n```python\nfor x in rows:\n    total += x\n```\n\n"
+    assert pairs.breaks_off(code + "Th", "Add the values.") and pairs.breaks_off(code + "It (as", "Add the values.")
+    assert not pairs.breaks_off(code + "That's all.", "Add the values.") and not pairs.breaks_off("42", "How many?") and not pairs.breaks_off("O(n log n)", "How fast?")
