@@ -42,13 +42,10 @@ def is_empty(answer: str | None) -> bool:
     """No content: blanks, invisible characters, bare punctuation, empty fences or markup, or a heading alone."""
     if answer is None:
         return True
-    visible = "".join(c for c in answer if unicodedata.category(c) not in ("Cf", "Cc", "Zs", "Zl", "Zp")) if len(answer) < 200 else answer
-    if not visible.strip():
+    if not _WORD.search(answer) and all(unicodedata.category(c) in ("Cf", "Cc", "Zs", "Zl", "Zp") for c in answer):
         return True
     if _LITERAL.match(answer) and not _SHELL.fullmatch(answer.strip()):
         return False
-    if len(answer) > 400:
-        return False
     body = re.sub(r"(?m)^[ \t]*(?:`{3,}|~{3,})[\w+#.-]*[ \t]*$", " ", answer)
     body = _SHELL.sub(" ", body) if _SHELL.search(body) and not re.search(r"\w", _SHELL.sub(" ", body)) else body
     if not re.search(r"\w", body):
@@ -112,7 +109,7 @@ def tiled(a: list[str], b: list[str], least: int = 3) -> int:
                 i += 1
                 continue
             best = 0
-            for j in at.get(tuple(a[i : i + least]), ())[:64]:
+            for j in at.get(tuple(a[i : i + least]), ()):
                 k = least
                 while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
                     k += 1

@@ -32,3 +32,12 @@ def test_answer_cut_right_after_a_code_block():
     code = "Use this loop to add the values:\n\n```python\nfor x in rows:\n    total += x\n```\n\n"
     assert pairs.breaks_off(code + "Th", "Add the values.") and pairs.breaks_off(code + "It (as", "Add the values.")
     assert not pairs.breaks_off(code + "That's all.", "Add the values.") and not pairs.breaks_off("42", "How many?") and not pairs.breaks_off("O(n log n)", "How fast?")
+
+
+def test_long_answers_without_content_are_empty():
+    assert pairs.is_empty("<div></div>\n" * 60) and pairs.is_empty("​" * 500) and not pairs.is_empty("<p>The lock is held.</p>\n" * 40)
+
+
+def test_tiling_tries_every_position():
+    b = [w for i in range(80) for w in ("x", "y", "z", f"n{i}")] + "x y z end of".split()
+    assert pairs.tiled("x y z end of".split(), b) == 5
