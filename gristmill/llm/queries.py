@@ -103,8 +103,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_validation(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    return residue.validation(docs, residue.train(docs))
+    return residue.validation(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,5 +1,7 @@
 """Cases in which a part of a job was left out."""
 
+from pyspark.sql import functions as F
+
 from gristmill.llm import pairs, residue
 
 
@@ -8,24 +10,65 @@ def _real(n):
     return " ".join(words[(i * 7 + i // 5) % len(words)] for i in range(n))
 
 
-def test_residue_late_in_a_long_line():
-    line = residue.facts(f"{_real(200)} zzz yyy")
-    xs = residue.features(line, True, 1, 1000)
-    late = residue.features(residue.facts("zzz yyy"), True, 1, 1000)[0]
-    grams = set(late) & set(xs[-1])
-    assert {residue._HASHES[w] & (residue.BUCKETS - 1) for w in ("zzz", "yyy")} <= grams
-    assert [list(residue.pieces(n)) for n in (0, 80, 81, 121)] == [[0], [0], [0, 40], [0, 40, 80]]
+def _buckets(f, of):
+    return set(f.bucket[f.at[of] : f.at[of + 1]])
 
 
-def test_residue_in_wording_that_no_pattern_lists():
+def test_residue_features_reach_every_word():
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(205)]
+    f, late = residue.features([" ".join(words)]), residue.features([words[-1]])
+    assert list(f.doc) == [0] * 10 and len(_buckets(f, 9) & _buckets(late, 0)) > len(_buckets(f, 0) & _buckets(late, 0))
+    many = residue.features(["a b", "ä {x}\n# ü ü ü ü", "12 345", "\U0001f600"])
+    assert list(many.doc) == [0, 1, 1, 2, 3] and list(many.line) == [0, 1, 2, 3, 4] and len(many.pages[1]) == 5
+    alone = residue.features(["ä {x}\n# ü ü ü ü"])
+    assert _buckets(alone, 0) == _buckets(many, 1) and _buckets(alone, 1) == _buckets(many, 2)
+
+
+def _texts():
     latin = ["Lorem ipsum dolor sit amet consectetur elit sed", "Lorem ipsum elit sed dolor sit amet consectetur"]
-    docs = [f"{_real(20 + i)}\n\n{_real(12 + i)}" for i in range(60)] + [f"# Title\n\n{latin[i % 2]} {i}." for i in range(30)] + [f"# {{{{ name_{i} }}}}\n\n{{{{ name_{i + 1} }}}}" for i in range(30)]
-    model = residue.fit(docs)
+    docs = [f"{_real(20 + i)}\n\n{_real(12 + i)}" for i in range(60)] + [f"# Title\n\n{latin[i % 2]} {i}." for i in range(30)]
+    docs += [f"# {{{{ name_{i} }}}}\n\n{{{{ name_{i + 1} }}}}" for i in range(30)] + [f"Error {400 + i}: the server broke. Back to start" for i in range(30)]
+    return docs + [f"{_real(9)}\n\nIf `x` gets a 404 Not Found, it tries {i} times.\n\n```\n{{{{ name }}}}\n```\n{_real(20)}" for i in range(30)]
+
+
+def test_residue_in_wording_that_no_pattern_lists():
+    model = residue.fit(_texts())
+    one = lambda t: residue.judge(model, [t])[0]
     unlisted = "Sit amet dolor consectetur elit sed ipsum dolor sit amet."
-    assert residue.weak_label(unlisted) == 0 and residue.judge(model, unlisted) == "filler"
-    assert residue.judge(model, f"{_real(200)} {" ".join([unlisted] * 4)}") == "filler"
-    assert residue.weak_label("{name_7}") == 0 and residue.judge(model, "# {name_7}\n\n{name_8}") == "placeholder"
-    assert residue.judge(model, f"{_real(30)}\n\n{_real(200)}") is None
+    assert residue.weak_label(unlisted)[0] == 0 and one(unlisted) == "filler"
+    assert one(f"{_real(200)} {' '.join([unlisted] * 4)}") == "filler"
+    assert residue.weak_label("{{Name9}")[0] == 0 and one("# {{Name9}\n\n{{Name9}") == "placeholder"
+    assert one(f"{_real(30)}\n\n{_real(200)}") is None and one(f"> Error 404: the server broke.\n{_real(40)}") is None
+    assert residue.judge(model, [None, "", " \n", "```\n{{ name }}\n```"]) == [None] * 4 and residue.judge(model, []) == []
+    assert residue.weak_label('{"message": "Not Found", "status": 404}')[0] == 3
+    assert residue.visible('{"status": 404}') == '{"status": 404}' and "404" not in residue.visible('He said "Error 404" again')
+
+
+def test_residue_repeats_of_one_word():
+    assert residue.repeats("blah " * 40) and not residue.repeats("blah " * 5) and not residue.repeats(_real(200))
+    assert residue.labels("blah " * 40)[0] == 2
+    long = f"{_real(300)}\nError 404"
+    assert residue.labels(long)[0] == -1 and residue.labels("Error 404\nBack")[0] == 3
+
+
+def test_residue_fit_without_texts_or_labels():
+    assert residue.judge(residue.fit([]), ["a b c"]) == [None]
+    assert residue.judge(residue.fit(["a b c"] * 5), ["a b c"]) == [None]
+
+
+def test_residue_sample_counts_a_hot_text_once(spark):
+    rows = [(i, "hot text", "q/r", "s") for i in range(300)] + [(i, f"text {i}", None, "s") for i in range(300, 900)] + [(1000, None, None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, repo_id string, source string")
+    got = residue.sample(d.withColumn("source", F.concat("source", F.col("doc_id").cast("string"))), 200)
+    assert len(got) == len(set(got)) and 120 <= len(got) <= 280
+    assert residue.sample(d.limit(0)) == []
+
+
+def test_residue_validation_by_hosts_and_phrases(spark):
+    rows = [(i, t, f"owner{i % 7}/x", None) for i, t in enumerate(_texts() + _texts())]
+    v = residue.validation(spark.createDataFrame(rows, "doc_id long, text string, repo_id string, source string")).toPandas()
+    own = v[v.held_out == "hosts"]
+    assert own[own.label == own.kind].docs.sum() >= 0.95 * own.docs.sum() > 0 and set(v.held_out) <= {"hosts", "hosts and phrases"}
 
 
 def test_answer_cut_right_after_a_code_block():
