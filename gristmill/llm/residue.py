@@ -175,7 +175,8 @@ class Features:
 
 def _lists(owner: np.ndarray, hashes: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of each owner, end to end, and the offsets of the owners."""
-    key = np.unique(owner.astype(np.int64) * BUCKETS + (mix(hashes) >> _U(48)).astype(np.int64) % BUCKETS)
+    key = np.sort(owner.astype(np.int64) * BUCKETS + (mix(hashes) >> _U(48)).astype(np.int64) % BUCKETS)
+    key = key[np.diff(key, prepend=-1) > 0]
     return (key % BUCKETS).astype(np.int32), np.searchsorted(key // BUCKETS, np.arange(owners + 1))
 
 
@@ -313,6 +314,15 @@ def _features(shown: list[str]) -> Features:
     return Features(bucket, offsets, p_doc, p_line, page)
 
 
+def _together(parts: list[Features]) -> Features:
+    """Features of all parts, their texts and lines counted on."""
+    end_to_end = lambda xs: (np.concatenate([b for b, _ in xs]), np.concatenate([[0], *[np.diff(a) for _, a in xs]]).cumsum())
+    count_on = lambda xs, n: np.concatenate([x + k for x, k in zip(xs, np.cumsum([0, *n[:-1]]))])
+    docs = [len(p.pages[1]) - 1 for p in parts]
+    lines = [int(p.line[-1]) + 1 if len(p.line) else 0 for p in parts]
+    return Features(*end_to_end([(p.bucket, p.at) for p in parts]), count_on([p.doc for p in parts], docs), count_on([p.line for p in parts], lines), end_to_end([p.pages for p in parts]))
+
+
 # --- the classifiers -------------------------------------------------------------
 
 
@@ -411,7 +421,7 @@ def fit(texts: list[str], seed: int = 3407, without: int | None = None) -> Resid
         line_y += lines
     if not shown:
         shown, page_y, line_y = [""], [0], [0]
-    f = features(shown)
+    f = _together([features(shown[at : at + DOCS_AT_ONCE]) for at in range(0, len(shown), DOCS_AT_ONCE)])
     page_y = np.array(page_y)
     y = np.array(line_y)[f.line]
     y[(y > 0) & (np.bincount(f.line)[f.line] > 1)] = -1  # of a long line it is not said where the phrase stands
