@@ -78,7 +78,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents"), leakage.item_index(table(spark, d, "benchmark")))
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -200,11 +200,36 @@ def test_leaks_match_brute_force(spark):
             w[len(w) // 2 : len(w) // 2] = src[at : at + n]
         docs.append((k, " ".join(w)))
     docs += [(1000, None), (1001, ""), (None, items[0][1])]
-    ix = leakage.ItemIndex(items)
+    bench = spark.createDataFrame([(i, t, "clash") for i, t in items] + [(None, items[0][1], "x")], "item_id long, text string, doc_id string")
     gram = lambda w: {tuple(w[i : i + 12]) for i in range(len(w) - 11)}
     want = {(d, i) for d, t in docs if t and d is not None for i, x in items if x and gram(t.split()) & gram(x.split())}
-    got = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), ix)
-    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and want
+    docs = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    whole, parts = ({tuple(r) for r in leakage.leaks(docs, bench, part_chars=n).collect()} for n in (10**6, 1500))
+    assert {x[:2] for x in whole} == want and want and parts == whole
+    assert leakage.leaks(docs.limit(0), bench).count() == 0 and leakage.leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_wand_finds_what_a_full_scan_finds():
+    rng = random.Random(8)
+    for vocabulary, n in ((6, 40), (30, 60), (500, 200)):
+        words = [f"w{i}" for i in range(vocabulary)]
+        ix = leakage.ItemIndex([(i, " ".join(rng.choice(words) for _ in range(rng.randrange(5, 50)))) for i in range(n)])
+        queries = [[rng.choice(words) for _ in range(leakage.PASSAGE)] for _ in range(200)]
+        queries += [(w[k : k + 13] + queries[k])[: leakage.PASSAGE] for k, w in enumerate(ix.words)]
+        terms = np.stack([ix.terms(q) for q in queries])
+        got = {tuple(x) for x in ix.retrieve(terms).tolist()}
+        held = [{} for _ in ix.items]
+        for key, s in zip(ix.key.tolist(), ix.score.tolist()):
+            held[key % ix.width][key // ix.width] = s
+        score = lambda q, d: sum(held[d].get(t, 0.0) for t in set(terms[q].tolist()))
+        assert got == {(q, d) for q in range(len(queries)) for d in range(len(ix.items)) if score(q, d) >= ix.least[d]} and got
+
+
+def test_answer_of_an_item():
+    assert leakage.answer_of("Write f.\nassert f([1]) == 42") == "42" and leakage.answer_of('def f():\n    """Add.\n    >>> f(1)\n    90 a\n    """\n') == "90 a"
+    assert leakage.answer_of("no answer here") == ""
+    ix = leakage.ItemIndex([(1, "a b c d e f g h i j k l m n o\nassert f(3) == 42")])
+    assert ix.overlap(0, [*"abcdefghijklmno", "42"], {0, 1, 2, 3})[2] == 1.0 and ix.overlap(0, [*"abcdefghijklmno"], {0})[2] == 0.0
 
 
 def test_leaks_in_any_dress():
