@@ -55,40 +55,79 @@ def is_empty(answer: str | None) -> bool:
 
 # --- refusal ---------------------------------------------------------------
 
-_NOT_ABLE = (
-    r"(?:i|we)(?:\s+(?:really|simply|just|therefore|must|do|am|are|will|would|have|need|regret|think|feel|'m|’m))*\s*"
-    r"(?:(?:can(?:no|')?t|can’t|can not|could not|couldn['’]t|won['’]t|will not|not (?:able|willing|allowed|permitted|comfortable)|unable|don['’]t feel able|refuse|decline|pass on|"
-    r"to decline|to refuse|to pass|to turn)\b)"
-)
-_VERB = r"(?:help|assist|answer|comply|complete|write|do|provide|produc\w+|fulfil\w*|share|support|continue|respond|discuss|generate|create|give|offer|engage|take|work|carry|handle|proceed|go|be producing|be able|to|this|that|on)"
-_REFUSALS = [
-    rf"\b{_NOT_ABLE}(?:\W+\w+){{0,3}}?\W*\b{_VERB}\b",
-    r"\bi(?:['’]m| am) (?:unable|not able|not allowed|not permitted)\b",
-    r"\bi (?:have to|must|will have to|need to) (?:respectfully )?(?:decline|refuse|pass)\b",
-    r"\b(?:no|not an?) (?:answer|response|solution|code|help) (?:can|will|could) be (?:given|provided|offered)\b",
-    r"\boutside (?:of )?(?:what i(?:['’]m| am)|my) (?:\w+ )?(?:allowed|able|scope|permitted|remit|guidelines|capabilities)\b",
-    r"\bsomething i (?:don['’]t|do not|can['’]t|cannot|won['’]t|will not) (?:do|help|provide|answer)?\b",
-    r"\b(?:request|question|task|this)\b.{0,40}\b(?:must|has to) be (?:declined|refused)\b",
-    r"\b(?:kann|darf|möchte|werde) ich (?:\w+ ){0,5}?nicht\b|\bich (?:kann|darf|möchte|werde) (?:\w+ ){0,6}?nicht\b|\bich (?:\w+ ){0,4}?(?:ablehnen|außerstande|nicht in der lage)\b|\bmuss ich (?:\w+ ){0,4}?(?:ablehnen|passen)\b",
-    r"\bje (?:ne |n['’])(?:peux|puis|suis|pourrai|saurais)\b.{0,60}\b|\bje (?:dois|me vois|préfère)\b.{0,30}\b(?:refuser|décliner|contraint|passer)\b|\bil m['’]est impossible\b",
-    r"\bno (?:puedo|podré|me es posible|estoy (?:autorizad|en condiciones))\b.{0,60}|\b(?:debo|tengo que|me veo)\b.{0,30}\b(?:rechazar|declinar|negarme|obligad)\b",
+# The words of each category of the refusal grammar (English, German, French, Spanish).
+_CATEGORIES = {
+    "s": "i we ich wir je j nous yo",  # who speaks
+    "n": "not no never t nt cannot nicht kein keine ne n pas",  # negation; t as in can't
+    "a": "can could able unable allowed permitted willing comfortable kann können darf dürfen möchte werde lage peux puis pouvons pourrai saurais suis autorisé puedo podemos podré posible",  # ability or leave
+    "m": "must have has need needs will would going muss müssen dois devons vois préfère debo debemos tengo veo",  # force
+    "d": "decline refuse pass turn declined refused ablehnen passen verweigern refuser décliner passer rechazar declinar negarme",  # declining
+    "h": "help assist answer comply complete write do provide produce producing fulfil fulfill share support continue respond discuss generate create give given offer offered engage take work carry handle proceed go be this that on to with "
+    "helfen antworten schreiben liefern beantworten unterstützen dabei weiterhelfen aider répondre fournir écrire faire cela ayudar responder escribir dar hacer eso",  # what is declined
+    "r": "request question task answer response solution code reply this anfrage frage bitte demande question solicitud petición pregunta",  # what was asked for
+    "x": "outside beyond außerhalb außerstande hors impossible fuera",  # out of reach
+    "b": "scope remit guidelines capabilities",  # the limits
+    "v": "won wont don do did could will would am",  # carries a negation
+}
+_CLASSES: dict[str, str] = {}
+for _class, _words in _CATEGORIES.items():
+    for _word in _words.split():
+        _CLASSES[_word] = _CLASSES.get(_word, "") + _class
+_IS = lambda c: rf"(?:\w*{c}\w*,)"  # noqa: E731  a word of class c, among its classes
+_ANY = r"(?:\w*,)"
+#: Sentences of the grammar over the categories of their words.
+_PRODUCTIONS = [
+    rf"{_IS('s')}{_ANY}{{0,4}}{_IS('a')}{_IS('n')}{_ANY}{{0,5}}{_IS('h')}",  # I can't help
+    rf"{_IS('s')}{_ANY}{{0,3}}{_IS('n')}{_ANY}{{0,1}}{_IS('a')}",  # I am not able
+    rf"{_IS('s')}{_ANY}{{0,4}}{_IS('n')}{_ANY}{{0,3}}{_IS('h')}",  # I cannot answer, I won't be producing
+    rf"{_IS('s')}{_ANY}{{0,2}}{_IS('m')}{_ANY}{{0,4}}{_IS('d')}",  # I must respectfully decline
+    rf"{_IS('s')}{_ANY}{{0,1}}{_IS('d')}",  # I decline
+    rf"{_IS('r')}{_ANY}{{0,4}}{_IS('m')}{_ANY}{{0,3}}{_IS('d')}",  # this request has to be declined
+    rf"{_IS('n')}{_ANY}{{0,1}}{_IS('r')}{_IS('a')}{_ANY}{{0,2}}{_IS('h')}",  # no answer can be given
+    rf"{_IS('x')}{_ANY}{{0,3}}(?:{_IS('s')}{_ANY}{{0,3}}{_IS('a')}|{_ANY}{{0,2}}{_IS('b')})",  # outside of what I'm allowed, of my scope
+    rf"(?:{_IS('a')}{_IS('s')}|{_IS('s')}{_IS('a')}){_ANY}{{0,6}}{_IS('n')}",  # kann ich ... nicht
+    rf"{_IS('m')}{_IS('s')}{_ANY}{{0,5}}{_IS('d')}",  # muss ich ablehnen
+    rf"{_IS('s')}{_IS('n')}{_IS('a')}",  # je ne peux
+    rf"{_IS('n')}{_ANY}{{0,1}}{_IS('a')}{_ANY}{{0,3}}{_IS('h')}",  # no puedo ayudar
+    rf"{_IS('m')}{_ANY}{{0,2}}{_IS('d')}(?={_ANY}{{0,4}}(?:{_IS('r')}|$))",  # debo rechazar
+    rf"{_IS('x')}{_ANY}{{0,3}}$|m,{_IS('x')}",  # il m'est impossible
 ]
-_REFUSAL = re.compile("|".join(_REFUSALS), re.I)
+_GRAMMAR = re.compile("|".join(_PRODUCTIONS))
+_UNABLE = re.compile(r"(?i)\b(?:i|we)(?:['’]m| am| are)? (?:\w+ )?unable\b|\bil m['’]est impossible\b|\b(?:ich|wir) (?:\w+ ){0,4}außerstande\b")
 #: What a helpful answer says after such words: "I can't reproduce it, but the cause is clear".
 _GOES_ON = re.compile(r"(?i)\b(?:reproduc|see|find|confirm|tell|repeat)\w*\b.{0,80}\bbut\b|, but (?:the|here|you|it)\b")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+
+
+def declines(sentence: str) -> bool:
+    """Is the sentence one of the refusal grammar: who speaks, negated ability or a decline, and the act?"""
+    words = re.findall(r"[^\W\d_]+", sentence.lower())
+    if not any("n" in _CLASSES.get(w, "") or "d" in _CLASSES.get(w, "") or "x" in _CLASSES.get(w, "") for w in words) and not _UNABLE.search(sentence):
+        return False
+    return _GRAMMAR.search("".join(_CLASSES.get(w, "") + "," for w in words)) is not None or _UNABLE.search(sentence) is not None
+
+
+def _asked_words(text: str) -> set[str]:
+    return {w for w in _LETTERS.findall(text.lower()) if len(w) > 3}
 
 
-def is_refusal(answer: str) -> bool:
-    """A short answer that declines: an opening of at most two sentences in the refusal grammar and no work."""
-    if len(answer) > 700 or "```" in answer or answer.lstrip().startswith(("--- ", "diff ")):
+def is_refusal(answer: str, question: str = "") -> bool:
+    """An answer that declines: a sentence of the refusal grammar, and no work beside it.
+
+    Work is code, a diff, or as many sentences about what was asked (three of
+    its words each) as not; the length of the answer does not matter.
+    """
+    if "```" in answer or answer.lstrip().startswith(("--- ", "diff ")):
         return False
-    sentences = re.split(r"(?<=[.!?])\s+", answer.strip())
-    if len(sentences) > 6 or len(answer.split()) > 90:
+    sentences = [x for x in _SENTENCE.split(answer.strip()) if x]
+    at = next((i for i, x in enumerate(sentences) if "`" not in x and declines(x) and not _GOES_ON.search(x)), None)
+    if at is None:
         return False
-    for s in sentences[:2]:
-        if _REFUSAL.search(s) and not _GOES_ON.search(s) and "`" not in s:
-            return True
-    return False
+    rest = sentences[:at] + sentences[at + 1 :]
+    if any("`" in x for x in rest):
+        return False
+    asked = _asked_words(question)
+    return 2 * sum(len(_asked_words(x) & asked) >= 3 for x in rest) <= len(rest)
 
 
 # --- echo ------------------------------------------------------------------
@@ -108,17 +147,15 @@ def tiled(a: list[str], b: list[str], least: int = 3) -> int:
             if any(used_a[i : i + least]):
                 i += 1
                 continue
-            best = 0
             for j in at.get(tuple(a[i : i + least]), ()):
                 k = least
                 while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
                     k += 1
-                best = max(best, k)
                 if k > longest:
                     longest, tiles = k, [(i, j, k)]
                 elif k == longest and k >= least:
                     tiles.append((i, j, k))
-            i += max(1, best) if best else 1
+            i += 1
         if not tiles:
             return covered
         for i, j, k in tiles:
@@ -182,54 +219,128 @@ def _blank_follows(question: str, line: str, n: int) -> bool:
     return any(x == line and not "".join(lines[i + 1 : i + 1 + n]).strip("` \t") for i, x in enumerate(lines))
 
 
+_FENCE_LINE = re.compile(r"[ \t>]*(`{3,}|~{3,})[ \t]*([\w+#.-]*)")
+_CLOSES = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«"}
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr p li td tr th dt dd".split())
+_PROSE_TOKEN = re.compile(r"<!--|-->|<(/?)([a-zA-Z][\w-]*)(?:\s[^<>]*?)?(/?)>|[()\[\]{}“”«»]|\"")
+_CODE_TOKEN = re.compile(r"\\.|\"\"\"|'''|//|/\*|\*/|--|#|[()\[\]{}\"'`\n]", re.S)
+#: What begins a comment, by the label of a block of code; in a block without a known label ``#`` and ``//`` do.
+_COMMENT = {**dict.fromkeys("python py python3 shell sh bash zsh ruby rb yaml yml toml".split(), ("#",)), "sql": ("--",), "": ("#", "//")}
+_PROSE_BLOCKS = frozenset("text txt md markdown diff patch console log html xml svg plain".split())
+
+
+def code_depth(code: str, label: str = "") -> list[str]:
+    """Brackets, strings and comments of a piece of code that are still open at its end, outermost first."""
+    comments = _COMMENT.get(label, ("//",))
+    stack: list[str] = []
+    inside = ""  # a string or comment
+    for m in _CODE_TOKEN.finditer(code):
+        t = m.group()
+        if inside:
+            if t == inside or (inside == "/*" and t == "*/") or (t == "\n" and inside in ("//", "#", "--", "\"", "'")):
+                inside = ""
+        elif t in ("\"\"\"", "'''", "\"", "`", "/*"):
+            inside = t
+        elif t == "'":
+            if not (m.start() and code[m.start() - 1].isalnum()) and "'" in code[m.end() : m.end() + 200].split("\n", 1)[0]:
+                inside = t  # neither an apostrophe nor a lifetime
+        elif t in comments:
+            inside = t
+        elif t in "([{":
+            stack.append(t)
+        elif t in ")]}" and stack and stack[-1] == _CLOSES[t]:
+            stack.pop()
+    return [*stack, inside] if inside in ("\"\"\"", "'''", "/*") else stack
+
+
+def left_open(text: str) -> tuple[list[str], list[str]]:
+    """Pushdown parse of a whole answer: what is still open at its end, and the lines behind the last block of code.
+
+    Fences hold code, whose brackets, strings and comments are parsed in their
+    turn; a block that closes on open brackets leaves ``code``.  Outside, tags and
+    comments stay open over paragraphs; brackets and quotations do not, as a text
+    that goes on after them is not cut there.
+    """
+    fence, label, code = "", "", []
+    tags: list[str] = []
+    marks: list[str] = []
+    cut_code = False
+    tail: list[str] = []
+    for line in text.split("\n"):
+        m = _FENCE_LINE.match(line)
+        if fence:
+            if m and m.group(1).startswith(fence) and not m.group(2):
+                cut_code = label not in _PROSE_BLOCKS and bool(code_depth("\n".join(code), label))
+                fence, tail = "", []
+            else:
+                code.append(line)
+            continue
+        if m:
+            fence, label, code, marks, tail = m.group(1), m.group(2).lower(), [], [], []
+            continue
+        tail.append(line)
+        if not line.strip():
+            marks = []
+            continue
+        cut_code = False
+        plain = _INLINE.sub("x", line)
+        for m in _PROSE_TOKEN.finditer(plain):
+            t = m.group()
+            comment = tags[-1:] == ["<!--"]
+            if t == "-->" or comment:
+                if t == "-->" and comment:
+                    tags.pop()
+            elif t == "<!--":
+                tags.append(t)
+            elif t[0] == "<":
+                name = m.group(2).lower()
+                if m.group(1):
+                    if name in tags:
+                        del tags[len(tags) - 1 - tags[::-1].index(name) :]
+                elif not m.group(3) and name not in _VOID:
+                    tags.append(name)
+            elif t == '"':
+                if marks[-1:] == [t]:
+                    marks.pop()
+                else:
+                    marks.append(t)
+            elif t in "([{“«":
+                marks.append(t)
+            elif t in _CLOSES and marks[-1:] == [_CLOSES[t]]:
+                marks.pop()
+        if plain.count("`") % 2:
+            marks.append("`")
+    closed = set(re.findall(r"</([a-zA-Z][\w-]*)>", text.lower()))
+    tags = [t for t in tags if t == "<!--" or t in closed or re.search(rf"(?m)^\s*<{re.escape(t)}\b", text)]  # a lone <name> in a sentence is a word
+    return [*tags, *marks, *([fence] if fence else []), *(["code"] if cut_code else [])], tail
+
+
 def breaks_off(answer: str, question: str) -> bool:
-    """Pushdown parse of fences, diffs, lists, markup, brackets, quotations and sentences."""
+    """Does the answer stop before its end: something left open, a half diff, list entry or sentence?"""
     text = answer.rstrip()
     head = text.lstrip()
     if head.startswith(("--- ", "diff --git ")):
         return diff_breaks_off(text.lstrip("\n"), question)
-    stack: list[str] = []
-    at_end: list[str] = []
-    for line in text.split("\n"):
-        bare = line.lstrip(" \t>")
-        m = re.match(r"(`{3,}|~{3,})", bare)
-        if m and (not stack or bare.startswith(stack[-1])):
-            if stack:
-                stack.pop()
-            else:
-                stack.append(m.group(1))
-                at_end = []
-            if not stack:
-                at_end = []
-        elif not stack:
-            at_end.append(line)
-    if stack:
+    left, lines = left_open(text)
+    if any(x in ("<!--", "code") or x[0] in "`~" and len(x) >= 3 for x in left):
         return True
-    tail = "\n".join(at_end).rstrip()
+    tail = "\n".join(lines).rstrip()
     if not tail.strip():
-        return False
+        return bool(left) and left[0].isalpha()
     last = tail.split("\n")[-1]
     item = _LISTED.match(last)
     if item and not item.group(1).strip() and len(text) > 8:
         return True
-    if re.search(r"<!--(?!.*-->)|<[a-zA-Z/][^<>]*$", last) and not re.search(r"\s<\s", last):
+    if re.search(r"<[a-zA-Z/][^<>]*$", last) and not re.search(r"\s<\s", last):
         return True
     if item and re.fullmatch(r"[\w./\\:<>~$-]+", item.group(1).strip()):
         token = item.group(1).strip()
         if re.search(rf"(?<![\w./]){re.escape(token)}(?![\w./-]|\.\w)", question):
             return False
         return re.search(rf"(?<![\w./]){re.escape(token)}[\w./-]", question) is not None or ("/" in token and "." not in token.rsplit("/", 1)[-1])
-    if _INLINE.sub("", last).count("`") % 2:
+    if left:
         return True
     plain = _INLINE.sub("x", last)
-    opened: list[str] = []
-    for c in plain:
-        if c in "([{“«":
-            opened.append(c)
-        elif c in ")]}”»" and opened:
-            opened.pop()
-    if opened or plain.count('"') % 2:
-        return True
     if len(_WORD.findall(text)) < 4:
         return False  # a short value; words after a code block are not one
     if last.rstrip().endswith(_ENDS):
@@ -377,7 +488,7 @@ def defect(messages: list[tuple[str | None, str | None]] | None) -> str | None:
     if role != "assistant" or is_empty(answer):
         return "empty"
     question = next((c for r, c in reversed(messages) if r == "user"), None) or ""
-    if is_refusal(answer):
+    if is_refusal(answer, question):
         return "refusal"
     if question and is_echo(question, answer):
         return "echo"

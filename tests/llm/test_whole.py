@@ -84,3 +84,52 @@ def test_long_answers_without_content_are_empty():
 def test_tiling_tries_every_position():
     b = [w for i in range(80) for w in ("x", "y", "z", f"n{i}")] + "x y z end of".split()
     assert pairs.tiled("x y z end of".split(), b) == 5
+
+
+def test_pushdown_parser_over_the_whole_answer():
+    q = "Sort the rows by age."
+    for cut in (
+        "Do this:\n\n```python\nfor x in rows:\n    total += f(x,\n```\n", "<details>\n<summary>Why</summary>\n\nIt sorts the rows by age first.", "<!-- the rows\n\nare sorted by age first.",
+        "It sorts the rows (by age.", "It sorts the rows.\nThen it says \"done and stops.", "Steps to take here:\n\n1. Sort the rows.\n2.",
+    ):
+        assert pairs.breaks_off(cut, q), cut
+    for whole in (
+        "a) It sorts the rows.\n\nb) That is all :)\n\nIt works.", "He said \"sort (the rows.\n\nThat is all of it.", "Use `f(x` here, that is all.", "```python\n# it's (open\ns = \"(\"\nt = '''(\n'''\n```\nThat is all of it.",
+        "```rust\nfn f<'a>(x: &'a str) { g('(') }\n```", "<p>It sorts the rows.<br>That is all.</p>", "Use <T> or <name> for the type of the rows.", "```text\n(open\n```\nThat is all of it.", "```sql\nselect 1 -- (open\n```",
+    ):
+        assert not pairs.breaks_off(whole, q), whole
+
+
+def test_refusals_of_any_length_and_place():
+    policy = " ".join(["These rules were made some time ago and they hold for everyone who writes to us."] * 20)
+    assert pairs.is_refusal(f"{policy} Therefore I must decline. {policy}", "Sort the rows by age.")
+    asked = "Why does the listener drop the signed packet after the gateway restarts?"
+    helpful = "I can't run it here. " + "The listener drops the signed packet because the gateway restarts too early. " * 3
+    assert not pairs.is_refusal(helpful, asked) and not pairs.is_refusal("You can't pass two keys. The map keeps one.", asked)
+    for x in ("Dazu darf ich keine Auskunft geben.", "Je ne peux pas répondre à cela.", "No puedo ayudar con eso.", "This is outside of what I'm allowed to do.", "I am unable to go on.", "This request has to be declined."):
+        assert pairs.is_refusal(x, asked), x
+
+
+def test_tiling_against_brute_force():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.choice("xyz") for _ in range(rng.randrange(14))] for _ in "ab")
+        used_a, used_b = [False] * len(a), [False] * len(b)
+
+        def stretch(i, j):
+            k = 0
+            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
+                k += 1
+            return k
+
+        while True:  # the definition: all longest free common stretches, in order, until none of three words is left
+            free = [(stretch(i, j), i, j) for i in range(len(a)) for j in range(len(b))]
+            most = max((k for k, _, _ in free), default=0)
+            if most < 3:
+                break
+            for k, i, j in free:
+                if k == most and not any(used_a[i : i + k]) and not any(used_b[j : j + k]):
+                    used_a[i : i + k] = used_b[j : j + k] = [True] * k
+        assert pairs.tiled(a, b) == sum(used_a)
