@@ -58,7 +58,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.near_groups(*neardup.similar_classes(_examples(spark, d), 0.7, 3))
+    return neardup.near_groups(*neardup.similar_classes(_examples(spark, d), 0.7, 3, spanning=True))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

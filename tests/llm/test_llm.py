@@ -119,9 +119,25 @@ def test_near_duplicates_match_brute_force(spark):
     assert set(groups) == set(ids) and all(groups[a] == groups[b] for a, b in want)
     star = {tuple(r) for r in neardup.near_pairs(members, links, expand=1).collect()}
     assert star <= want and len(star) < len(want)
+    spread = {(r.id, r.grp, r.links) for r in neardup.near_groups(*neardup.similar_classes(examples(spark, rows), spanning=True)).collect()}
+    assert spread == {(r.id, r.grp, r.links) for r in neardup.near_groups(members, links).collect()}
     assert neardup.similar_classes(examples(spark, []))[0].count() == 0
 
 
+def test_hot_tokens_and_groups_in_parts(spark, monkeypatch):
+    rng = random.Random(4)
+    common = [f"w{i}" for i in range(40)]
+    texts = [" ".join([*common[: rng.randrange(20, 40)], *[rng.choice(common) for _ in range(rng.randrange(8))]]) for _ in range(80)]
+    rows = [dict(id=f"i{k:03}", messages=[("user", t)]) for k, t in enumerate(texts)]
+    once = {tuple(r) for r in neardup.near_pairs(*neardup.similar_classes(examples(spark, rows))).collect()}
+    for name, value in dict(HOT=5, GROUP_MEMBERS=7, GROUP_QUERIES=11, MEETINGS=50).items():
+        monkeypatch.setattr(neardup, name, value)
+    pairs_ = neardup.near_pairs(*neardup.similar_classes(examples(spark, rows))).collect()
+    assert {tuple(r) for r in pairs_} == once and len(pairs_) == len(once) > 100
+    sets = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for t in texts]
+    assert once == {(f"i{a:03}", f"i{b:03}") for a in range(80) for b in range(a + 1, 80) if len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b])}
+
+
 def test_forest_and_components(spark):
     rng = random.Random(4)
     e = [(str(rng.randrange(60)), str(rng.randrange(60))) for _ in range(45)] + [("a", None), ("x", "x")] + [(f"p{i}", f"p{i + 1}") for i in range(40)]
