@@ -268,7 +268,9 @@ def test_pfair_deviates_less_than_a_block():
         have[s] += 1
         assert all(abs(have[k] - shares[k] * t) < 1 for k in shares)
     odd = mixing.exact_shares({f"s{i}": 1 / (i + 3) for i in range(12)})
-    assert sum(odd.values()) == Fraction(1) and math.lcm(*(f.denominator for f in odd.values())) <= mixing.PERIOD
+    assert sum(odd.values()) == Fraction(1) and mixing.planned_shares(odd, 500) == odd and len(mixing.pfair_period(odd, 500)) == 500
+    rounded = mixing.planned_shares(odd | {"least": Fraction(1, 10**9)}, 10**9)
+    assert sum(rounded.values()) == 1 and rounded["least"] * mixing.PERIOD == 1 and math.lcm(*(f.denominator for f in rounded.values())) <= mixing.PERIOD
     assert mixing.pfair_period({}) == []
 
 
@@ -280,7 +282,25 @@ def test_mix(spark):
     shares = {r.source: r for r in s.collect()}
     assert abs(shares["big"].share - 1 / 3) < 0.01 and abs(shares["small"].share - 2 / 3) < 0.01 and shares["gone"].used == 0 and shares["unknown"].used == 0
     p = m.toPandas()
-    assert p.groupby("doc_id").size().max() <= 2 and not p.duplicated(["doc_id", "copy"]).any() and p.groupby("slot").source.nunique().max() == 1
+    assert p.groupby("doc_id")["copy"].nunique().max() <= 2 and not p.duplicated(["doc_id", "copy", "piece"]).any() and p.groupby("slot").source.nunique().max() == 1
+    assert p.groupby("slot").tokens.sum().max() <= 64
+
+
+def test_mix_of_long_documents_and_tiny_weights(spark):
+    docs = spark.createDataFrame([(i, "a " * (700 if i % 3 == 0 else 5), "long" if i % 3 == 0 else "short") for i in range(90)] + [(999, "a", "tiny")], "doc_id long, text string, source string")
+    w = spark.createDataFrame([("long", 0.7, 1), ("short", 0.3, 40), ("tiny", 1e-4, 1)], "source string, weight double, max_repeats int")
+    m, s = mixing.mix(docs, w, vocab.Vocab(PIECES), block_tokens=64)
+    p = m.toPandas()
+    slots = p.groupby("slot").agg(source=("source", "first"), n=("source", "nunique"), tokens=("tokens", "sum"))
+    assert slots.n.max() == 1 and slots.tokens.max() <= 64 and "tiny" in set(p.source)
+    whole = p[p.source != "tiny"].groupby(["doc_id", "copy"]).agg(tokens=("tokens", "sum"), pieces=("piece", "max"))
+    assert set(whole.tokens) <= {700, 5} and whole.pieces.max() >= 10
+    have = {"long": 0, "short": 0}
+    last = min(slots[slots.source == k].index.max() for k in have)
+    for t in range(last):
+        if t in slots.index and slots.source[t] in have:
+            have[slots.source[t]] += 1
+        assert abs(have["long"] - 0.7 * (t + 1)) < 1.01
 
 
 def test_residue_on_held_out_texts(spark):
