@@ -42,18 +42,25 @@ def greedy_first_wins(nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame
     return nodes.select(key).join(dropped, key, "left_anti")
 
 
-def decontaminate(df: DataFrame, key: str, text: str, benchmark: DataFrame, benchmark_text: str, threshold: float = 0.85, family: str = "compat") -> DataFrame:
-    """``key`` of the rows whose text equals or is near a benchmark text.
+def signed_texts(benchmark: DataFrame, text: str, family: str = "compat") -> DataFrame:
+    """``_b, sig, hash`` of the distinct texts of a benchmark."""
+    return benchmark.select(text).distinct().select(F.xxhash64(text).alias("_b"), signature(F.col(text), family).alias("sig"), F.sha2(normalize(F.col(text)), 256).alias("hash"))
+
+
+def tainted(signed: DataFrame, key: str, theirs: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """``key`` of the signed rows (``key, sig, hash``) that equal or are near a signed benchmark text.
 
     The benchmark side is a held-out set of bounded size; its bands are joined
     by hash, and Spark broadcasts them where they are small.
     """
-    sign = lambda d, t, k: d.select(k, signature(F.col(t), family).alias("sig"), F.sha2(normalize(F.col(t)), 256).alias("hash"))
-    ours = sign(df, text, key)
-    theirs = durable(sign(benchmark.select(benchmark_text).distinct().withColumn("_b", F.xxhash64(benchmark_text)), benchmark_text, "_b"))
-    ours = durable(ours)
-    exact = ours.join(theirs.select("hash").distinct(), "hash", "left_semi").select(key)
-    cand = banded(ours, key).join(banded(theirs, "_b"), ["band", "h"]).select(key, "_b").distinct()
-    both = cand.join(ours.select(key, F.col("sig").alias("_x")), key).join(theirs.select("_b", F.col("sig").alias("_y")), "_b")
+    exact = signed.join(theirs.select("hash").distinct(), "hash", "left_semi").select(key)
+    cand = banded(signed, key).join(banded(theirs, "_b"), ["band", "h"]).select(key, "_b").distinct()
+    both = cand.join(signed.select(key, F.col("sig").alias("_x")), key).join(theirs.select("_b", F.col("sig").alias("_y")), "_b")
     near = both.where(similarity(F.col("_x"), F.col("_y")) >= threshold).select(key)
     return exact.unionByName(near).distinct()
+
+
+def decontaminate(df: DataFrame, key: str, text: str, benchmark: DataFrame, benchmark_text: str, threshold: float = 0.85, family: str = "compat") -> DataFrame:
+    """``key`` of the rows whose text equals or is near a benchmark text."""
+    ours = durable(df.select(key, signature(F.col(text), family).alias("sig"), F.sha2(normalize(F.col(text)), 256).alias("hash")))
+    return tainted(ours, key, durable(signed_texts(benchmark, benchmark_text, family)), threshold)

@@ -11,13 +11,37 @@ from pyspark.sql.window import Window as W
 from gristmill.functions.hashing import DEFAULT_SEED, hash_hex
 
 
+#: Up to so many rows a sample is a plain top-k; a larger one first finds its last hash.
+TOP_K = 1_000
+
+
 def priority_sample(df: DataFrame, key: Column, count: int, seed: int = DEFAULT_SEED, tie: str | None = None) -> DataFrame:
     """The ``count`` rows with the least key hashes, in that order; ties by column ``tie``.
 
-    Runs as a top-k in each task and a merge: no full sort, no shuffle of the table.
+    Rows that tie in both may stand for each other.  Whole rows are not sent to
+    one task: the last hash of the sample is found on hashes and ties alone,
+    among the rows of the least hash ranges that hold ``count``, and what lies
+    before it is sorted by ranges.
     """
     h = hash_hex(key, seed)
-    return df.orderBy(h, *([tie] if tie else [])).limit(max(0, count))
+    order = [h, *([F.col(tie)] if tie else [])]
+    if count <= TOP_K:
+        return df.orderBy(*order).limit(max(0, count))
+    lead = F.conv(F.substring(h, 1, 4), 16, 10).cast("int")
+    sizes = sorted((r["k"], r["n"]) for r in df.groupBy(lead.alias("k")).agg(F.count("*").alias("n")).collect() if r["k"] is not None)  # 65,536 rows at most
+    upto, have = -1, 0
+    for k, n in sizes:
+        upto, have = k, have + n
+        if have >= count:
+            break
+    near = df.where(lead <= upto)
+    if have <= count:
+        return near.orderBy(*order)
+    place = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    last = near.select(place.alias("p")).orderBy("p").limit(count).agg(F.max("p").alias("p")).first()["p"]
+    bound = F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(last)])
+    inside = near.where(place <= bound)
+    return inside.orderBy(*order) if inside.count() == count else inside.orderBy(*order).limit(count)
 
 
 def candidate_count(count: int, multiplier: float, smoke: bool = False) -> int:
@@ -63,19 +87,23 @@ def apportion(weights: DataFrame, key: str, weight: str, total: int) -> DataFram
 
 
 def redistribute(requested: dict[str, int], available: dict[str, int]) -> dict[str, int]:
-    """Requests capped at what there is; the rest goes round by round, one each, to the keys with most left.
+    """Requests capped at what there is; what is missing is taken from the keys with most left, one row of each in a round.
 
-    Ties by key.  Dozens of keys at most, so this is driver arithmetic.
+    Ties by key.  In every round each key that still has rows gives one, the ones
+    with most left first, so after r rounds a key has given min(r, its slack):
+    the whole rounds are found at once, and only the last one is dealt by order.
     """
     got = {k: min(n, available.get(k, 0)) for k, n in requested.items()}
-    missing = sum(requested.values()) - sum(got.values())
-    while missing > 0:
-        slack = {k: n - got.get(k, 0) for k, n in available.items() if n > got.get(k, 0)}
-        if not slack:
-            break
-        for k in sorted(slack, key=lambda k: (-slack[k], k))[:missing]:
-            got[k] = got.get(k, 0) + 1
-            missing -= 1
+    slack = {k: n - got.get(k, 0) for k, n in available.items() if n > got.get(k, 0)}
+    missing = min(sum(requested.values()) - sum(got.values()), sum(slack.values()))
+    given = lambda r: sum(min(r, v) for v in slack.values())
+    low, high = 0, missing
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if given(middle) <= missing else (low, middle - 1)
+    last = sorted((k for k, v in slack.items() if v > low), key=lambda k: (-slack[k], k))[: missing - given(low)]
+    for k, v in slack.items():
+        got[k] = got.get(k, 0) + min(low, v) + (k in last)
     return got
 
 
@@ -92,23 +120,80 @@ def stratified_sample(df: DataFrame, stratum: str, limits: dict[str, int], key:
     return ranked.where(F.col("_rank") <= F.try_element_at(limit, F.col(stratum))).drop("_h")
 
 
+def _first_of_each(df: DataFrame, by: list[str], order: list, limit: Column, most: int) -> DataFrame:
+    """The first ``limit`` rows of each group, with ``_rank``; each task's rows are cut to ``most`` a group before the shuffle."""
+    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_rank") <= most)
+    return ranked.where(F.col("_rank") <= limit)
+
+
 def backfill(df: DataFrame, stratum: str, quotas: dict[str, int], order: list, key: Column, seed: int = DEFAULT_SEED, pool: int | None = None, pool_order: list | None = None) -> DataFrame:
     """Quota of each stratum in ``order``; what falls short is filled from the rest by least key hash.
 
-    ``pool`` caps the rest to so many rows in ``pool_order`` before it is hashed.
-    Adds ``filled``: true for rows from the rest.
+    ``order`` is to be unique in a stratum.  ``pool`` caps the rest to so many rows
+    in ``pool_order`` before it is hashed.  Adds ``filled``: true for rows from the
+    rest.  Of a stratum of any size only its quota is ranked; the rest is what
+    comes after the last row kept, and is cut to what is missing as a top-k.
     """
-    ranked = df.where(F.col(stratum).isin(list(quotas))).withColumn("_rank", F.row_number().over(W.partitionBy(stratum).orderBy(*order)))
-    limit = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
-    inside = F.col("_rank") <= limit[F.col(stratum)]
-    kept = ranked.where(inside)
-    have = {r[0]: r["n"] for r in df.where(F.col(stratum).isin(list(quotas))).groupBy(stratum).agg(F.count("*").alias("n")).collect()}  # a row for each quota
-    short = sum(max(0, n - have.get(k, 0)) for k, n in quotas.items())
-    rest = ranked.where(~inside)
+    wanted = df.where(F.col(stratum).isin(list(quotas)))
+    most = max(quotas.values(), default=0)
+    limit = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]) if quotas else F.create_map().cast("map<string,int>")
+    kept = _first_of_each(wanted, [stratum], order, F.try_element_at(limit, F.col(stratum)), most).drop("_rank")
+    place = F.struct(*[F.col(c).alias(f"k{i}") if isinstance(c, str) else c.alias(f"k{i}") for i, c in enumerate(order)])
+    last = {r[0]: (r["n"], r["p"]) for r in kept.groupBy(stratum).agg(F.count("*").alias("n"), F.max(place).alias("p")).collect()}  # a row for each quota
+    short = sum(n - last.get(k, (0, None))[0] for k, n in quotas.items())
+    done = kept.withColumn("filled", F.lit(False))
+    if not short:
+        return done
+    # a stratum with all its quota may have more rows; one that fell short has none
+    after = F.lit(False)
+    for k, n in quotas.items():
+        if n <= 0:
+            after = after | (F.col(stratum) == k)
+        elif last.get(k, (0, None))[0] == n:
+            after = after | ((F.col(stratum) == k) & (place > F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(last[k][1])])))
+    rest = wanted.where(after)
     if pool is not None:
         rest = rest.orderBy(*(pool_order or order)).limit(pool)
     rest = rest.orderBy(hash_hex(key, seed), *order).limit(short)
-    return kept.withColumn("filled", F.lit(False)).unionByName(rest.withColumn("filled", F.lit(True))).drop("_rank")
+    return done.unionByName(rest.withColumn("filled", F.lit(True)))
+
+
+def repo_backfill(df: DataFrame, desired: dict[str, int], weights: dict[str, float], order: list[str], key: Column, seed: int = DEFAULT_SEED, split: str = "split", language: str = "language") -> DataFrame:
+    """Rows by (split, language) targets; each split is filled from its overflow.
+
+    The target of a language in a split is its largest-remainder part of
+    ``desired``.  What lies beyond a target waits as overflow, of which a split
+    looks at the first ``desired`` rows in ``order``, languages in the order of the
+    weights, and takes what it misses by least key hash.  Adds ``filled``.  All
+    other splits and languages are dropped.
+    """
+    langs = list(weights)
+    targets = {(s, k): n for s, total in desired.items() for k, n in largest_remainder(total, weights).items()}
+    name = lambda s, k: F.concat(s, F.lit("/"), k)
+    limit = F.create_map(*[x for (s, k), n in targets.items() for x in (F.lit(f"{s}/{k}"), F.lit(n))])
+    room = F.create_map(*[F.lit(x) for kv in desired.items() for x in kv])
+    wanted = df.where(F.col(split).isin(list(desired)) & F.col(language).isin(langs))
+    most = max(targets.values(), default=0) + max(desired.values(), default=0)
+    ranked = _first_of_each(wanted, [split, language], order, F.lit(most), most).withColumn("_t", limit[name(F.col(split), F.col(language))])
+    kept = ranked.where(F.col("_rank") <= F.col("_t")).withColumn("filled", F.lit(False))
+    at = F.array_position(F.array(*[F.lit(k) for k in langs]), F.col(language))
+    over = ranked.where(F.col("_rank") > F.col("_t")).withColumn("_o", F.row_number().over(W.partitionBy(split).orderBy(at, "_rank")))
+    over = over.where(F.col("_o") <= room[F.col(split)])
+    have = kept.groupBy(split).agg(F.count("*").alias("_n"))
+    short = wanted.sparkSession.createDataFrame(list(desired.items()), f"`{split}` string, _d int").join(have, split, "left").select(split, (F.col("_d") - F.coalesce("_n", F.lit(0))).alias("_short"))
+    fill = over.join(F.broadcast(short), split).withColumn("_f", F.row_number().over(W.partitionBy(split).orderBy(hash_hex(key, seed), *order))).where(F.col("_f") <= F.col("_short"))
+    return kept.select(*df.columns, "filled").unionByName(fill.withColumn("filled", F.lit(True)).select(*df.columns, "filled"))
+
+
+def repo_candidates(targets: dict[str, dict[str, int]], language: str, multiplier: int = 3) -> int:
+    """Candidates to draw for a language: some times its training rows, 25 times its held-out rows, 100 at least."""
+    held_out = [targets[s].get(language, 0) * 25 for s in ("validation", "test")]
+    return max(100, targets["train"].get(language, 0) * multiplier, *held_out)
+
+
+def limited(train: DataFrame, validation: DataFrame, n: int | None, order: list) -> tuple[DataFrame, DataFrame]:
+    """Prefixes for a trial run: ``n`` rows to train on and a quarter of it, one at least, to validate on; all rows without ``n``."""
+    return (train, validation) if n is None else (first_n(train, order, n), first_n(validation, order, max(1, n // 4)))
 
 
 def rehearsal(df: DataFrame, key: Column, count: int = 556, seed: int = DEFAULT_SEED, tie: str | None = None) -> DataFrame:

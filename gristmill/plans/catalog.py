@@ -369,9 +369,11 @@ _LONG = 120
     select lang, split, reason, count(*) as n from r group by all"""
 )
 def funnel(spark, d):
-    docs = _docs(spark, d).withColumn("n", text.normalize(F.col("text")))
-    bench = table(spark, d, "benchmark").select(text.normalize(F.col("text")).alias("n")).distinct().withColumn("hit", F.lit(True))
-    judged = dedup.exact_first(docs.withColumn("words", F.size(text.words(F.col("text")))).select("doc_id", "lang", "n", "words"), "n", "doc_id").join(bench, "n", "left")
+    norm = text.normalize(F.col("text"))
+    rows = _docs(spark, d).select("doc_id", "lang", norm.alias("n")).select("doc_id", "lang", F.sha2("n", 256).alias("k"), F.when(F.col("n") == "", 0).otherwise(F.size(F.split("n", " "))).alias("words"))
+    bench = table(spark, d, "benchmark").select(F.sha2(norm, 256).alias("k")).distinct().withColumn("hit", F.lit(True))
+    firsts = rows.groupBy("k").agg(F.min("doc_id").alias("first"))
+    judged = rows.join(firsts, "k").join(bench, "k", "left")  # ids, hashes and numbers only
     reason = stats.first_reason(too_long=F.col("words") > _LONG, benchmark_overlap=F.col("hit"), duplicate=F.col("first") != F.col("doc_id"))
     return judged.groupBy("lang", hashing.hash_split(F.col("doc_id")).alias("split"), F.coalesce(reason, F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))
 

@@ -69,8 +69,13 @@ def commit_examples(rows: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
 
 
 def _ranked(df: DataFrame, key, seed: int, base: int) -> DataFrame:
-    """``rank`` in hash order from ``base``; the candidates are a bounded draw."""
-    return df.withColumn("rank", F.row_number().over(W.orderBy(hash_hex(key, seed), "id")).cast("long") + base)
+    """``rank`` in hash order from ``base``: ids and hashes alone are put in one order, the texts stay where they are.
+
+    The candidates are a bounded draw, so their ids fit one task.
+    """
+    df = durable(df)
+    ranks = df.select("id", F.row_number().over(W.orderBy(hash_hex(key, seed), "id")).cast("long").alias("rank"))
+    return df.join(ranks.withColumn("rank", F.col("rank") + base), "id")
 
 
 def mixture(refined: DataFrame, broad: DataFrame, commits: DataFrame, benchmark: DataFrame, benchmark_text: str, counts: dict[str, int], tier_weights: dict[str, float],
@@ -80,47 +85,40 @@ def mixture(refined: DataFrame, broad: DataFrame, commits: DataFrame, benchmark:
     Sources come in a fixed order, refined, broad tier by tier, commits language
     by language, and an earlier row wins over a later one that is the same or near.
     Commits beyond a language's quota wait as overflow, and fill what is missing.
+    All candidates are signed and linked once.
     """
     step = 1 << 40
-    judged: list[DataFrame] = []
-    state: DataFrame | None = None
+    draw = sampling.candidate_count
+    ends: dict[int, int | None] = {}
+    parts: list[DataFrame] = []
 
-    def take(candidates: DataFrame, requested: int | None) -> DataFrame:
-        nonlocal state
-        got = durable(accept(candidates, benchmark, benchmark_text, max_tokens, requested, state))
-        judged.append(got)
-        mine = got.where("reason is null").select("rank", "messages")
-        state = durable(mine if state is None else state.unionByName(mine))
-        return got.where("reason is null")
+    def add(examples: DataFrame, name: str, end: int | None) -> None:
+        number = len(ends)
+        ends[number] = end
+        ranked = _ranked(examples, F.col("source_id"), seed, number * step)
+        parts.append(ranked.withColumn("source_no", F.lit(number)).withColumn("_quota_of", F.lit(name)))
 
-    draw = sampling.candidate_count
     some = sampling.priority_sample(latest(refined, ["id"]), F.col("id"), draw(counts["refined"], multiplier), seed, "id")
-    take(_ranked(instruction_examples(some, "eer6_refined", F.lit("refined"), seed), F.col("source_id"), seed, 0), counts["refined"])
+    add(instruction_examples(some, "eer6_refined", F.lit("refined"), seed), "refined", counts["refined"])
 
     targets = sampling.largest_remainder(counts["broad"], tier_weights)
     limits = {t: draw(n, multiplier) for t, n in targets.items() if n > 0}
     tiers = durable(sampling.stratified_sample(with_tier(latest(broad, ["id"])), "tier", limits, F.col("id"), seed, "id"))
-    for i, (tier, n) in enumerate(targets.items()):
-        rows = instruction_examples(tiers.where(F.col("tier") == tier), "eer6_broad", F.lit(tier), seed)
-        take(_ranked(rows, F.col("source_id"), seed, (1 + i) * step), n)
+    for tier, n in targets.items():
+        add(instruction_examples(tiers.where(F.col("tier") == tier), "eer6_broad", F.lit(tier), seed), tier, n)
 
+    first_commit = len(ends)
     quotas = sampling.largest_remainder(counts["commits"], language_weights)
-    pool: list[DataFrame] = []
     lang = language.infer_language(F.lit(""), F.coalesce("lang", F.lit("unknown")))
     named = durable(latest(commits, ["commit", "new_file"]).withColumn("_lang", lang))
-    for i, (name, n) in enumerate(quotas.items()):
+    for name, n in quotas.items():
         some = sampling.priority_sample(named.where(F.col("_lang") == name), sampling.sample_key(named, "commit"), draw(n, multiplier), seed, "new_file")
-        ranked = _ranked(commit_examples(some, seed), F.col("source_id"), seed, (100 + i) * step)
-        pool.append(take(ranked, None).withColumn("_quota_of", F.lit(name)))
-    out = [j.where("reason is null").drop("reason", "rank") for j in judged[: 1 + len(targets)]]
-    if pool:
-        every = pool[0]
-        for p in pool[1:]:
-            every = every.unionByName(p)
-        out.append(sampling.backfill(every, "_quota_of", quotas, ["rank"], F.col("id"), seed).drop("reason", "rank", "_quota_of", "filled"))
-    examples, all_judged = out[0], judged[0]
-    for p in out[1:]:
-        examples = examples.unionByName(p)
-    for j in judged[1:]:
-        all_judged = all_judged.unionByName(j)
-    return examples.orderBy(hash_hex(F.col("id"), seed)), all_judged
+        add(commit_examples(some, seed), name, None)
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    judged = durable(accept(durable(every), benchmark, benchmark_text, max_tokens, ends))
+    taken = judged.where("reason is null")
+    commits_taken = sampling.backfill(taken.where(F.col("source_no") >= first_commit), "_quota_of", quotas, ["rank"], F.col("id"), seed).drop("filled")
+    examples = taken.where(F.col("source_no") < first_commit).unionByName(commits_taken).drop("reason", "rank", "source_no", "_quota_of")
+    return examples.orderBy(hash_hex(F.col("id"), seed)), judged.drop("source_no", "_quota_of")
