@@ -210,11 +210,6 @@ def task_plan(spark, d):
     return repo_context.task_rows(t).select(F.col("source_id").alias("instance_id"), "task_type", "position_bucket", "target_tokens")
 
 
-@query()
-def task_skips(spark, d):
-    return stats.skips(repo_context.task_rows(table(spark, d, "repo_tasks")), "skip", "source_id", ["source_id"])[0]
-
-
 # --- quality -------------------------------------------------------------------------
 
 _FOUND = "regexp_extract(coalesce(average_test_score, ''), '[0-9]+(?:\\.[0-9]+)?')"

@@ -44,8 +44,8 @@ def instruction_examples(rows: DataFrame, source: str, tier, seed: int = DEFAULT
     )
 
 
-def commit_examples(rows: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Canonical examples of commits: the task, the old file and, as answer, the diff; no diff, no example."""
+def commit_examples(rows: DataFrame, seed: int = DEFAULT_SEED, keep: list[str] | None = None) -> DataFrame:
+    """Canonical examples of commits: the task, the old file and, as answer, the diff; no diff, no example.  Columns of ``keep`` stay."""
     some = lambda c, default: F.coalesce(F.nullif(F.col(c), F.lit("")), default)
     old_file = some("old_file", F.lit("file"))
     d = rows.withColumn("_old", old_file).withColumn("_new", some("new_file", old_file))
@@ -64,20 +64,10 @@ def commit_examples(rows: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     return d.select(
         F.concat(F.lit("commitpackft:"), sid, F.lit(":"), "_new").alias("id"), F.lit("commitpackft").alias("source"), sid.alias("source_id"), repo.alias("repo_id"),
         language.infer_language(F.coalesce("new_contents", F.lit("")), own).alias("language"), F.lit("code_edit").alias("task_type"), F.lit("filtered").alias("quality_tier"),
-        hash_split(F.coalesce(repo, sid), seed).alias("split"), messages.alias("messages"), message_tokens(messages).alias("token_count"), F.to_json(meta).alias("metadata"),
+        hash_split(F.coalesce(repo, sid), seed).alias("split"), messages.alias("messages"), message_tokens(messages).alias("token_count"), F.to_json(meta).alias("metadata"), *(keep or []),
     )
 
 
-def _ranked(df: DataFrame, key, seed: int, base: int) -> DataFrame:
-    """``rank`` in hash order from ``base``: ids and hashes alone are put in one order, the texts stay where they are.
-
-    The candidates are a bounded draw, so their ids fit one task.
-    """
-    df = durable(df)
-    ranks = df.select("id", F.row_number().over(W.orderBy(hash_hex(key, seed), "id")).cast("long").alias("rank"))
-    return df.join(ranks.withColumn("rank", F.col("rank") + base), "id")
-
-
 def mixture(refined: DataFrame, broad: DataFrame, commits: DataFrame, benchmark: DataFrame, benchmark_text: str, counts: dict[str, int], tier_weights: dict[str, float],
             language_weights: dict[str, float], max_tokens: int = 8192, multiplier: float = 1.5, seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
     """``(examples, judged)``: the accepted mixture in hash order, and every judged candidate with its reason.
@@ -87,16 +77,13 @@ def mixture(refined: DataFrame, broad: DataFrame, commits: DataFrame, benchmark:
     Commits beyond a language's quota wait as overflow, and fill what is missing.
     All candidates are signed and linked once.
     """
-    step = 1 << 40
     draw = sampling.candidate_count
     ends: dict[int, int | None] = {}
     parts: list[DataFrame] = []
 
     def add(examples: DataFrame, name: str, end: int | None) -> None:
-        number = len(ends)
-        ends[number] = end
-        ranked = _ranked(examples, F.col("source_id"), seed, number * step)
-        parts.append(ranked.withColumn("source_no", F.lit(number)).withColumn("_quota_of", F.lit(name)))
+        parts.append(examples.withColumn("source_no", F.lit(len(ends))).withColumn("_quota_of", F.lit(name)))
+        ends[len(ends)] = end
 
     some = sampling.priority_sample(latest(refined, ["id"]), F.col("id"), draw(counts["refined"], multiplier), seed, "id")
     add(instruction_examples(some, "eer6_refined", F.lit("refined"), seed), "refined", counts["refined"])
@@ -111,13 +98,18 @@ def mixture(refined: DataFrame, broad: DataFrame, commits: DataFrame, benchmark:
     quotas = sampling.largest_remainder(counts["commits"], language_weights)
     lang = language.infer_language(F.lit(""), F.coalesce("lang", F.lit("unknown")))
     named = durable(latest(commits, ["commit", "new_file"]).withColumn("_lang", lang))
-    for name, n in quotas.items():
-        some = sampling.priority_sample(named.where(F.col("_lang") == name), sampling.sample_key(named, "commit"), draw(n, multiplier), seed, "new_file")
-        add(commit_examples(some, seed), name, None)
+    drawn = sampling.stratified_sample(named, "_lang", {k: draw(n, multiplier) for k, n in quotas.items() if n > 0}, sampling.sample_key(named, "commit"), seed, "new_file")
+    of_language = durable(commit_examples(drawn, seed, ["_lang"]))
+    for name in quotas:
+        add(of_language.where(F.col("_lang") == name).drop("_lang"), name, None)
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    judged = durable(accept(durable(every), benchmark, benchmark_text, max_tokens, ends))
+    every = durable(every)
+    # ids and hashes alone are put in order, a bounded draw of each source; the texts stay where they are
+    place = F.row_number().over(W.partitionBy("source_no").orderBy(hash_hex(F.col("source_id"), seed), "id")).cast("long")
+    ranks = every.select("source_no", "id", "source_id").select("source_no", "id", (place + F.col("source_no") * F.lit(1 << 40)).alias("rank"))
+    judged = durable(accept(durable(every.join(ranks, ["source_no", "id"])), benchmark, benchmark_text, max_tokens, ends))
     taken = judged.where("reason is null")
     commits_taken = sampling.backfill(taken.where(F.col("source_no") >= first_commit), "_quota_of", quotas, ["rank"], F.col("id"), seed).drop("filled")
     examples = taken.where(F.col("source_no") < first_commit).unionByName(commits_taken).drop("reason", "rank", "source_no", "_quota_of")

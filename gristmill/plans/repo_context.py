@@ -125,35 +125,64 @@ def dependencies(files: DataFrame, relevant: DataFrame) -> DataFrame:
     return files.withColumn("stem", stem).join(named, ["source_id", "stem"], "left_semi").select("source_id", "path").join(relevant.select("source_id", "path"), ["source_id", "path"], "left_anti")
 
 
-def build(tasks: DataFrame, files: DataFrame, lang: str, seed: int = DEFAULT_SEED, max_bytes: int = 200_000) -> DataFrame:
-    """Examples of tasks over ``files (repo, commit, path, content)``; a faulty task keeps its ``skip`` instead.
+def sound_tasks(tasks: DataFrame, lang: str | None = None, seed: int = DEFAULT_SEED) -> tuple[DataFrame, DataFrame]:
+    """:func:`task_rows` with ``lang``, and of the tasks without a fault what their files are joined on.
 
-    Files are joined on repository and commit; the other files of a task are
-    ranked in a window and cut to ``MOST_FILES`` before their contents are gathered.
+    Without a given language a task has that of its first changed file.
+    """
+    own = F.lit(lang) if lang else language.path_language(F.try_element_at("changed_files", F.lit(1)))
+    t = task_rows(tasks, seed).withColumn("lang", own)
+    return t, t.where("skip is null").select("source_id", F.col("rev.github_repo").alias("repo"), F.col("rev.commit").alias("commit"), "changed_files", "tests", "lang")
+
+
+def context_paths(good: DataFrame, files: DataFrame, seed: int = DEFAULT_SEED, max_bytes: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """``(chosen, trees)`` for sound tasks over ``files (repo, commit, path, content)``.
+
+    ``chosen``: ``source_id, repo, commit, path, relevant, place``: the readable
+    changed files in the order of the patch, and of the others at most
+    ``MOST_FILES``: tests in their order, dependencies by path, files of the task's
+    language by hash.  ``trees``: ``source_id, paths``, the first ``TREE_PATHS``.
+    Paths alone are ranked; the only contents that are read are those of the
+    changed files, for their imports.
     """
-    t = task_rows(tasks, seed)
-    good = t.where("skip is null").select("source_id", F.col("rev.github_repo").alias("repo"), F.col("rev.commit").alias("commit"), "changed_files", "tests")
     readable = (F.length("content") <= max_bytes) & ~F.contains("content", F.lit("\x00")) & diffs.safe_path(F.col("path"))
-    have = good.join(files, ["repo", "commit"])
-    tree = have.groupBy("source_id").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    text = have.where(readable)
+    listed = files.select("repo", "commit", "path", readable.alias("readable")).distinct()
+    have = good.join(listed, ["repo", "commit"])
+    first = have.select("source_id", "path").distinct().withColumn("_p", F.row_number().over(W.partitionBy("source_id").orderBy("path"))).where(F.col("_p") <= TREE_PATHS)
+    trees = first.groupBy("source_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "path"))), lambda x: x.path).alias("paths"))
     at = F.array_position("changed_files", F.col("path"))
-    relevant = text.where(at > 0).select("source_id", "path", "content", at.alias("at"))
-    deps = dependencies(have.select("source_id", "path"), relevant).withColumn("dep", F.lit(True))
-    rest = text.join(relevant.select("source_id", "path"), ["source_id", "path"], "left_anti").join(deps, ["source_id", "path"], "left")
+    changed = have.where(F.col("readable") & (at > 0)).select("source_id", "repo", "commit", "path", F.lit(True).alias("relevant"), at.cast("int").alias("place"))
+    contents = changed.join(files.select("repo", "commit", "path", "content"), ["repo", "commit", "path"])
+    deps = dependencies(have.select("source_id", "path"), contents.select("source_id", "path", "content")).distinct().withColumn("dep", F.lit(True))
+    rest = have.where(F.col("readable") & (at == 0)).join(deps, ["source_id", "path"], "left")
     test_at = F.array_position("tests", F.col("path"))
-    first = F.when(test_at > 0, 0).when(F.col("dep"), 1).when(language.path_language(F.col("path")) == lang, 2)
-    order = F.when(first == 0, F.lpad(test_at.cast("string"), 12, "0")).when(first == 1, F.col("path")).otherwise(hash_hex(F.concat("source_id", F.lit(":"), "path"), seed))
-    ranked = rest.withColumn("c", first).where("c is not null").withColumn("o", order)
-    ranked = ranked.withColumn("r", F.row_number().over(W.partitionBy("source_id").orderBy("c", "o"))).where(F.col("r") <= MOST_FILES)
+    kind = F.when(test_at > 0, 0).when(F.col("dep"), 1).when(language.path_language(F.col("path")) == F.col("lang"), 2)
+    order = F.when(kind == 0, F.lpad(test_at.cast("string"), 12, "0")).when(kind == 1, F.col("path")).otherwise(hash_hex(F.concat("source_id", F.lit(":"), "path"), seed))
+    ranked = rest.withColumn("c", kind).where("c is not null").withColumn("o", order)
+    ranked = ranked.withColumn("place", F.row_number().over(W.partitionBy("source_id").orderBy("c", "o", "path"))).where(F.col("place") <= MOST_FILES)
+    return changed.unionByName(ranked.select("source_id", "repo", "commit", "path", F.lit(False).alias("relevant"), "place")), trees
+
+
+def build(tasks: DataFrame, files: DataFrame, lang: str | None = None, seed: int = DEFAULT_SEED, max_bytes: int = 200_000) -> DataFrame:
+    """Examples of tasks over ``files (repo, commit, path, content)``, unique by path; a faulty task keeps its ``skip`` instead.
+
+    Files are joined on repository and commit, ranked by path and cut before any
+    content is gathered (:func:`context_paths`).
+    """
+    t, good = sound_tasks(tasks, lang, seed)
+    chosen, trees = context_paths(good, files, seed, max_bytes)
+    texts = chosen.join(files.select("repo", "commit", "path", "content"), ["repo", "commit", "path"])
     block = F.struct("path", diffs.file_block(F.col("path"), F.col("content"), language.path_language(F.col("path"))).alias("text"))
-    in_order = lambda d, by: d.groupBy("source_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(by).alias("k"), block.alias("b")))), lambda x: x.b).alias("_l"))
-    d = t.join(tree, "source_id", "left").join(in_order(relevant, "at").withColumnRenamed("_l", "relevant"), "source_id", "left").join(in_order(ranked, "r").withColumnRenamed("_l", "others"), "source_id", "left")
+    entry = F.struct("place", block.alias("b"))
+    in_order = lambda c: F.transform(F.array_sort(F.collect_list(F.when(c, entry))), lambda x: x.b)
+    lists = texts.groupBy("source_id").agg(in_order(F.col("relevant")).alias("relevant"), in_order(~F.col("relevant")).alias("others"))
+    d = t.join(trees, "source_id", "left").join(lists, "source_id", "left")
     empty = F.array().cast("array<struct<path:string,text:string>>")
-    d = d.withColumn("others", F.coalesce("others", empty)).withColumn("skip", F.coalesce("skip", F.when(F.col("relevant").isNull(), "no readable changed files")))
-    raw = F.array_join(F.slice(F.coalesce("paths", F.array().cast("array<string>")), 1, TREE_PATHS), "\n")
+    d = d.withColumn("others", F.coalesce("others", empty)).withColumn("skip", F.coalesce("skip", F.when(F.coalesce(F.size("relevant"), F.lit(0)) <= 0, "no readable changed files")))
+    raw = F.array_join(F.coalesce("paths", F.array().cast("array<string>")), "\n")
     d = d.withColumn("raw_tree", raw).withColumn("tree", truncate_tokens(raw, F.greatest(F.lit(512), F.floor(F.col("target_tokens") / 8)).cast("int")))
     instruct = F.create_map(*[F.lit(x) for kv in INSTRUCTIONS.items() for x in kv])[F.col("task_type")]
+    # Fixed value: the layout of the prompt.
     fixed = F.concat(F.lit("Repository: "), "rev.github_repo", F.lit("@"), "rev.commit", F.lit("\n\nRepository tree:\n"), "tree", F.lit("\n\nIssue:\n"), strip(F.coalesce("problem_statement", F.lit(""))), F.lit("\n\nTask:\n"), instruct, F.lit("\n\nRepository context:\n"))
     d = d.withColumn("fixed", fixed).withColumn("answer", response(F.col("task_type"), F.col("patch"), F.col("changed_files"), F.col("functions"), F.col("tests")))
     d = d.withColumn("budget", (F.col("target_tokens") - token_count(F.col("answer")) - token_count(F.col("fixed")) - RESERVE).cast("int"))
@@ -167,6 +196,6 @@ def build(tasks: DataFrame, files: DataFrame, lang: str, seed: int = DEFAULT_SEE
     d = d.withColumn("skip", F.coalesce("skip", F.when(F.col("token_count") > F.col("target_tokens"), "longer than the target")))
     return d.select(
         F.concat(F.lit("swesmith:"), "source_id", F.lit(":"), "task_type").alias("id"), F.lit("swe_smith").alias("source"), "source_id", F.col("rev.github_repo").alias("repo_id"),
-        F.lit(lang).alias("language"), "task_type", F.lit("executable_source").alias("quality_tier"), "split", "messages", "token_count", "skip",
+        F.col("lang").alias("language"), "task_type", F.lit("executable_source").alias("quality_tier"), "split", "messages", "token_count", "skip",
         F.struct(F.col("rev.commit").alias("commit"), "changed_files", "functions", "tests", "position_bucket", F.col("target_tokens").alias("target_context_tokens"), (F.col("tree") != F.col("raw_tree")).alias("repository_tree_truncated"), "image_name").alias("metadata"),
     )
