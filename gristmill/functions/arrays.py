@@ -26,24 +26,29 @@ def positions(values: Column, needle: Column) -> Column:
     return F.filter(every, lambda i: F.slice(values, i + 1, F.size(needle)) == needle)
 
 
-def mask_violation(ids: Column, labels: Column, system: Column, user: Column, response: Column) -> Column:
-    """First fault of an assistant-only label mask, null where it is sound.
+def mask_audit(ids: Column, labels: Column, system: Column, user: Column, response: Column) -> Column:
+    """``struct<turns, fault>`` of an assistant-only label mask: the user turns checked, and the first fault, null where it is sound.
 
-    Everything up to and with the response marker that follows a system or user
-    marker must be masked with -100, and so must all before the first response.
+    A span is what lies from a system or user marker, or from the start, to the
+    end of the next response marker; every label in it must be -100.
     """
+
     def check(at: Column) -> Column:
-        r, u, s = at["r"], at["u"], at["s"]
-        masked = lambda a, b: F.forall(F.slice(labels, a + 1, F.greatest(b - a, F.lit(0))), lambda x: x == -100)
-        following = lambda i: F.array_min(F.filter(r, lambda x: x > i))
-        good = lambda i: masked(i, following(i) + F.size(response))
-        return (
-            F.when((F.size(r) == 0) | (F.size(u) == 0) | (F.size(s) == 0), "markers not found")
-            .when(~masked(F.lit(0), r[0] + F.size(response)), "initial tokens are supervised")
-            .when(F.exists(F.concat(u, s), lambda i: following(i).isNull()), "turn without a response")
-            .when(~F.forall(u, good), "user tokens are supervised")
-            .when(~F.forall(s, good), "system tokens are supervised")
-        )
+        ends = lambda i: F.array_min(F.filter(at["r"], lambda x: x > i)) + F.size(response)
+        spans = lambda starts: F.transform(starts, lambda i: F.struct(i.alias("a"), ends(i).alias("b")))
+        leaks = lambda starts: F.exists(spans(starts), lambda s: F.exists(F.slice(labels, s.a + 1, F.greatest(s.b - s.a, F.lit(0))), lambda x: x != -100))
+        no_marker = F.exists(F.array(F.size(at["r"]), F.size(at["u"]), F.size(at["s"])), lambda n: n == 0)
+        fault = (
+            F.when(no_marker, "markers not found").when(F.exists(F.slice(labels, 1, at["r"][0] + F.size(response)), lambda x: x != -100), "initial tokens are supervised")
+            .when(F.exists(F.concat(at["u"], at["s"]), lambda i: ends(i).isNull()), "turn without a response")
+            .when(leaks(at["u"]), "user tokens are supervised").when(leaks(at["s"]), "system tokens are supervised")
+        )
+        return F.struct(F.size(at["u"]).alias("turns"), fault.alias("fault"))
 
     where = F.struct(positions(ids, response).alias("r"), positions(ids, user).alias("u"), positions(ids, system).alias("s"))
     return let(where, check)
+
+
+def mask_violation(ids: Column, labels: Column, system: Column, user: Column, response: Column) -> Column:
+    """First fault of an assistant-only label mask, null where it is sound (:func:`mask_audit`)."""
+    return mask_audit(ids, labels, system, user, response)["fault"]

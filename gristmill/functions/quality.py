@@ -32,13 +32,16 @@ def judge_scores(c: Column) -> Column:
     return F.filter(F.transform(raw, lambda x: x.try_cast("double")), lambda x: x.isNotNull())
 
 
-def _walk(value) -> list[float]:
-    if isinstance(value, dict):
-        own = [float(value["score"])] if isinstance(value.get("score"), (int, float)) else []
-        return own + [s for v in value.values() for s in _walk(v)]
-    if isinstance(value, list):
-        return [s for v in value for s in _walk(v)]
-    return []
+def _scores(value) -> list[float]:
+    """Numbers under a ``score`` key, a mapping's own before those further in, in the order of the text."""
+    found, waiting = [], [value]
+    while waiting:
+        v = waiting.pop()
+        if isinstance(v, dict) and isinstance(v.get("score"), (int, float)):
+            found.append(float(v["score"]))
+        inner = v.values() if isinstance(v, dict) else v if isinstance(v, list) else ()
+        waiting.extend(reversed([x for x in inner if isinstance(x, (dict, list))]))
+    return found
 
 
 def judge_scores_exact(c: Column) -> Column:
@@ -49,7 +52,7 @@ def judge_scores_exact(c: Column) -> Column:
         out = []
         for x in col.to_pylist():
             try:
-                out.append(_walk(json.loads(x)) if x is not None else [])
+                out.append(_scores(json.loads(x)) if x is not None else [])
             except ValueError:
                 out.append(None)
         return pa.array(out, pa.list_(pa.float64()))

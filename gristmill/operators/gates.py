@@ -52,12 +52,35 @@ def largest_passing(probes: DataFrame, headroom: float = 0.10) -> DataFrame:
     return probes.agg(F.coalesce(F.max(F.when(ok, F.col("length"))), F.lit(0)).cast("int").alias("selected"))
 
 
+#: Characters of a failed probe's output that are kept.
+ERROR_TAIL = 4_000
+
+
+def probe_lengths(probes: DataFrame) -> DataFrame:
+    """``lengths``: the distinct lengths to probe, ascending."""
+    return probes.agg(F.array_sort(F.collect_set("length")).alias("lengths"))
+
+
 def probe_results(output: DataFrame, marker: str) -> DataFrame:
-    """Last line with the marker of each probe (``probe, line_no, line``), its JSON parsed; none is a failed row."""
-    body = F.when(F.col("line").startswith(marker), F.substring(F.col("line"), len(marker) + 1, 1 << 30))
-    last = output.groupBy("probe").agg(F.max_by(body, F.when(body.isNotNull(), F.col("line_no"))).alias("json"))
+    """``probe, length, success, headroom_fraction, error`` from ``probe, line_no, line`` and, where there are, ``stream, length, exit_code``.
+
+    The JSON after the marker on the last marked line of the output counts; a
+    probe without one, or with an exit code other than 0, failed, and keeps the last
+    ``ERROR_TAIL`` characters of its error stream, or of its output where that is empty.
+    """
+    d = output
+    for name, default in (("stream", F.lit("out")), ("length", F.lit(None).cast("int")), ("exit_code", F.lit(0))):
+        d = d if name in d.columns else d.withColumn(name, default)
+    said = F.col("stream") == "out"
+    body = F.when(said & F.col("line").startswith(marker), F.substring(F.col("line"), len(marker) + 1, 1 << 30))
+    joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("line_no", "line")))), lambda x: x.line), "\n")
+    last = d.groupBy("probe").agg(F.max_by(body, F.when(body.isNotNull(), F.col("line_no"))).alias("json"), F.max("length").alias("asked"), F.max("exit_code").alias("code"), joined(~said).alias("err"), joined(said).alias("out"))
     parsed = F.from_json("json", "length int, success boolean, headroom_fraction double")
-    return last.select("probe", "json", parsed.alias("r")).select("probe", "r.length", F.coalesce("r.success", F.lit(False)).alias("success"), "r.headroom_fraction")
+    ok = F.col("json").isNotNull() & (F.col("code") == 0)
+    tail = F.coalesce(F.nullif(F.col("err"), F.lit("")), F.col("out"))
+    return last.withColumn("r", F.when(ok, parsed)).select(
+        "probe", F.coalesce("r.length", "asked").alias("length"), F.coalesce("r.success", F.lit(False)).alias("success"), "r.headroom_fraction", F.when(~ok, F.right(tail, F.lit(ERROR_TAIL))).alias("error")
+    )
 
 
 def select_profile(profiles: DataFrame, vram_gb: float) -> DataFrame:
@@ -84,6 +107,30 @@ def parameter_audit(modules: DataFrame) -> DataFrame:
     )
 
 
+# What the name of a vision parameter holds.
+VISION = [".visual.", ".vision_", "vision_model"]
+
+
+def audit_faults(modules: DataFrame) -> DataFrame:
+    """``fault, names``: families without a module, vision parameters that are trained, and a model of which nothing is trained."""
+    leaf = F.substring_index("name", ".", -1)
+    vision = F.lit(False)
+    for mark in VISION:
+        vision = vision | F.lower("name").contains(mark)
+    one = modules.agg(
+        *[F.count_if(leaf.isin(names)).alias(k) for k, names in FAMILIES.items()],
+        F.array_sort(F.collect_set(F.when(F.col("trainable") & vision, F.col("name")))).alias("seen"),
+        F.coalesce(F.sum(F.when(F.col("trainable"), F.col("numel"))), F.lit(0)).alias("trained"),
+    )
+    missing = F.array_compact(F.array(*[F.when(F.col(k) == 0, k) for k in FAMILIES]))
+    faults = F.array(
+        F.struct(F.lit("missing projection families").alias("fault"), missing.alias("names"), (F.size(missing) > 0).alias("bad")),
+        F.struct(F.lit("vision parameters are trainable").alias("fault"), F.col("seen").alias("names"), (F.size("seen") > 0).alias("bad")),
+        F.struct(F.lit("nothing is trainable").alias("fault"), F.array().cast("array<string>").alias("names"), (F.col("trained") == 0).alias("bad")),
+    )
+    return one.select(F.explode(faults).alias("f")).where("f.bad").select("f.fault", "f.names")
+
+
 def last_checkpoint(paths: DataFrame) -> DataFrame:
     """``path`` of the checkpoint with the greatest step; names without a whole number are ignored."""
     step = F.regexp_extract("path", r"checkpoint-(\d+)/*\z", 1)

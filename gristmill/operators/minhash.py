@@ -4,7 +4,7 @@ Two hash families, never to be mixed.  ``compat`` derives all slots from one
 64-bit digest, as existing corpora were deduplicated with it: every slot picks
 the same run, so a similarity is in practice 0 or 1.  ``independent`` mixes the
 digest anew for each slot, so the share of equal slots estimates the Jaccard
-similarity.  ``sha`` is the compat formula over SHA-256, which SQL can express.
+similarity.  ``sha`` and ``sha_independent`` are these formulas over SHA-256, which SQL can express.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ def _sha(run: str) -> int:
     return int(hashlib.sha256(run.encode("utf-8", "surrogatepass")).hexdigest()[:15], 16) % PRIME
 
 
+# The formula of the compat slots, and the modulus.
 def _compat(v: np.ndarray) -> np.ndarray:
     step = (v >> 29) | 1
     return ((v[:, None] + step[:, None] * (_SEEDS + 1) + _SEEDS * _SEEDS) % PRIME).min(axis=0)
@@ -59,7 +60,7 @@ def signature(text: Column, family: str = "compat", width: int = 5) -> Column:
     The text is normalized in the JVM and goes to Python once, as Arrow batches:
     nested lambdas over runs are many times slower.
     """
-    hashed, digest = {"compat": (_compat, _blake), "independent": (_independent, _blake), "sha": (_compat, _sha)}[family]
+    hashed, digest = {"compat": (_compat, _blake), "independent": (_independent, _blake), "sha": (_compat, _sha), "sha_independent": (_independent, _sha)}[family]
 
     @F.arrow_udf("array<long>")
     def sign(col: pa.Array) -> pa.Array:

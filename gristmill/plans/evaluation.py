@@ -33,6 +33,16 @@ METRICS = [*(f"{n}_recall_at_{k}" for n in ("file", "function") for k in (1, 3,
 
 
 def summary(scored: DataFrame) -> DataFrame:
-    """``metric, mean, n`` over the rows that have the metric; metrics no row has are left out."""
-    long = scored.unpivot([], METRICS, "metric", "value").where("value is not null")
-    return long.groupBy("metric").agg(F.avg("value").alias("mean"), F.count("*").alias("n"))
+    """``metric, mean, n``: the mean over the rows that have the metric, 0.0 where none has."""
+    one = scored.agg(*[F.struct(F.coalesce(F.avg(m), F.lit(0.0)).alias("mean"), F.count(m).alias("n")).alias(m) for m in METRICS])
+    return one.unpivot([], METRICS, "metric", "v").select("metric", "v.mean", "v.n")
+
+
+def task_counts(rows: DataFrame) -> DataFrame:
+    """``task_type, n`` of the evaluated rows."""
+    return rows.groupBy("task_type").agg(F.count("*").alias("n"))
+
+
+def solutions(responses: DataFrame) -> DataFrame:
+    """``task_id, solution, raw_response`` from ``task_id, response``: one record for each sample, the solution its longest fenced block."""
+    return responses.select("task_id", text.fenced_code(F.col("response")).alias("solution"), F.col("response").alias("raw_response"))

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIRS: list[str] = []
+_USED: set[str] = set()
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -36,19 +37,26 @@ def local_session(cpus: str | int = "*", partitions: int = 8, **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
+    """Folder for this application's intermediate tables below the cluster's ``spark.checkpoint.dir``; it is removed when the application ends.
 
-    Only where that setting is absent (tests, a laptop) a private folder is
-    made; it is removed when the interpreter ends.
+    Only where that setting is absent and all runs on one machine (tests, a
+    laptop) a private folder is made; a cluster without the setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not _OWN_DIRS:
             own = tempfile.mkdtemp(prefix="gristmill-")
             _OWN_DIRS.append(own)
             atexit.register(shutil.rmtree, own, True)
-        named = f"file://{_OWN_DIRS[0]}"
-    return f"{named.rstrip('/')}/gristmill-{spark.sparkContext.applicationId}"
+        return f"file://{_OWN_DIRS[0]}/{spark.sparkContext.applicationId}"
+    path = f"{named.rstrip('/')}/gristmill-{spark.sparkContext.applicationId}"
+    if path not in _USED:
+        _USED.add(path)
+        full = spark._jvm.org.apache.hadoop.fs.Path(path)
+        full.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(full)
+    return path
 
 
 def durable(df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:

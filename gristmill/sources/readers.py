@@ -6,11 +6,13 @@ import json
 import os
 import re
 from pathlib import Path
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.functions.diffs import safe_path
+from gristmill.functions.messages import violation
 
 MESSAGES = "array<struct<role:string,content:string>>"
 METADATA = (
@@ -31,10 +33,10 @@ TASK_SUFFIXES = {"python": "py", "javascript": "js", "typescript": "ts", "cpp":
 
 
 def read_rows(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """JSON lines or parquet (by suffix) with a declared schema; blank lines are skipped."""
+    """JSON lines or parquet (by suffix) with a declared schema; blank lines are skipped, absent columns are null."""
     paths = [path] if isinstance(path, str) else path
     if all(p.rstrip("/").endswith(".parquet") for p in paths):
-        return spark.read.parquet(*paths)
+        return spark.read.schema(schema).parquet(*paths)
     return spark.read.schema(schema).json(paths)
 
 
@@ -43,15 +45,28 @@ def read_examples(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_rows(spark, path, EXAMPLE)
 
 
+def read_valid_examples(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(examples, faults)``: the canonical examples that keep every rule, and ``id, violation`` of the others."""
+    rows = read_examples(spark, path)
+    checked = rows.withColumn("violation", violation(F.col("messages"), **{c: F.col(c) for c in ("id", "source", "source_id", "split", "token_count", "content_sha256")}))
+    return checked.where("violation is null").drop("violation"), checked.where("violation is not null").select("id", "violation")
+
+
 def read_by_language(spark: SparkSession, root: str, languages: list[str], schema: str, names: dict[str, str]) -> DataFrame:
-    """One directory for each language below ``root``; adds ``language``."""
-    out = None
-    for language in languages:
-        part = read_rows(spark, f"{root}/{names.get(language, language)}", schema).withColumn("language", F.lit(language))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    """One scan of a directory for each language below ``root``; adds ``language``.
+
+    ``names`` gives directories that are called otherwise, such as ``c++``; the
+    name of the file a row is from may have it percent-encoded.
+    """
+    if not languages:
         raise ValueError("no language is given")
-    return out
+    folder = {k: names.get(k, k) for k in languages}
+    path = F.col("_metadata.file_path")
+    found = None
+    for name, f in folder.items():
+        here = F.contains(path, F.lit(f"/{f}/")) | F.contains(path, F.lit(f"/{quote(f)}/"))
+        found = (F if found is None else found).when(here, name)
+    return read_rows(spark, [f"{root.rstrip('/')}/{f}" for f in folder.values()], schema).select("*", found.alias("language"))
 
 
 def read_files(spark: SparkSession, root: str, max_bytes: int) -> DataFrame:

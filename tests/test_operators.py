@@ -115,6 +115,10 @@ def test_files_and_bundles(spark, tmp_path):
     with pytest.raises(RuntimeError):
         writers.write_if_complete(e, 3, f"{tmp_path}/x/none", {}, f"{tmp_path}/x/m.json")
     assert '"complete": false' in (tmp_path / "x/m.json").read_text() and not (tmp_path / "x/none").exists()
+    assert writers.write_if_complete(e, 2, f"{tmp_path}/x/all", {"k": 1}, f"{tmp_path}/x/m.json") == 2
+    assert readers.read_examples(spark, f"{tmp_path}/x/all").count() == 2 and not (tmp_path / "x/all.incomplete").exists() and '"complete": true' in (tmp_path / "x/m.json").read_text()
+    writers.write_settings({"b": 1, "a": {"c": [1]}}, f"{tmp_path}/x/s.yaml")
+    assert "c" in (tmp_path / "x/s.yaml").read_text()
     for bad in ("/", "/tmp", "/a/$X/b"):
         with pytest.raises(ValueError):
             writers.guard(bad)
@@ -128,6 +132,60 @@ def test_files_and_bundles(spark, tmp_path):
     assert readers.merge_settings({"a": {"b": 1, "c": 2}}, {"a": {"b": 3}}) == {"a": {"b": 3, "c": 2}}
 
 
+def test_reading_by_language_and_with_rules(spark, tmp_path):
+    for folder in ("c++", "python"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.jsonl").write_text('{"commit": "%s"}\n\n' % folder)
+    got = readers.read_by_language(spark, str(tmp_path), ["cpp", "python"], readers.COMMIT, readers.COMMIT_DIRS)
+    assert {(r["commit"], r["language"]) for r in got.collect()} == {("c++", "cpp"), ("python", "python")}
+    with pytest.raises(ValueError):
+        readers.read_by_language(spark, str(tmp_path), [], readers.COMMIT, {})
+    good = '{"id": "1", "source": "s", "source_id": "1", "split": "train", "token_count": 1, "messages": [{"role": "assistant", "content": "a"}]}'
+    (tmp_path / "e.jsonl").write_text(good + "\n\n" + good.replace("train", "dev") + "\n")
+    valid, faults = readers.read_valid_examples(spark, f"{tmp_path}/e.jsonl")
+    assert valid.count() == 1 and faults.first()["violation"] == "unsupported split"
+    spark.createDataFrame([("c", 5)], "commit string, other int").write.parquet(f"{tmp_path}/p.parquet")
+    assert readers.read_rows(spark, f"{tmp_path}/p.parquet", readers.COMMIT).first()["old_file"] is None
+
+
+def test_priority_sample_beyond_a_plain_top_k(spark, monkeypatch):
+    d = spark.range(3000).select((F.col("id") % 700).cast("string").alias("k"), "id")
+    want = [r.id for r in sampling.priority_sample(d, F.col("k"), 40, tie="id").collect()]
+    monkeypatch.setattr(sampling, "TOP_K", 0)
+    assert [r.id for r in sampling.priority_sample(d, F.col("k"), 40, tie="id").collect()] == want
+    assert sampling.priority_sample(d, F.col("k"), 5000, tie="id").count() == 3000 and sampling.priority_sample(d.where("id < 0"), F.col("k"), 5).count() == 0
+    same = spark.range(50).select(F.lit("x").alias("k"))
+    assert sampling.priority_sample(same, F.col("k"), 7).count() == 7
+
+
+def test_redistribution_is_round_by_round():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(200):
+        keys = "abcde"[: rng.randrange(1, 6)]
+        wanted, there = ({k: rng.randrange(9) for k in keys} for _ in "ab")
+        got = {k: min(wanted[k], there[k]) for k in keys}
+        missing = sum(wanted.values()) - sum(got.values())
+        while missing and any(there[k] > got[k] for k in keys):  # the definition
+            for k in sorted((k for k in keys if there[k] > got[k]), key=lambda k: (got[k] - there[k], k))[:missing]:
+                got[k] += 1
+                missing -= 1
+        assert sampling.redistribute(wanted, there) == got
+
+
+def test_repository_backfill_fills_a_split_from_its_overflow(spark):
+    rows = [(f"{s}{k}{i}", s, k) for s, k, n in (("train", "py", 9), ("train", "go", 1), ("test", "py", 1)) for i in range(n)] + [("x", "dev", "py"), (None, None, None)]
+    d = spark.createDataFrame(rows, "id string, split string, language string")
+    got = sampling.repo_backfill(d, {"train": 6, "test": 2}, {"py": 0.5, "go": 0.5}, ["id"], F.col("id")).collect()
+    by = {(s, k, f): sum(r.split == s and r.language == k and r.filled == f for r in got) for s in ("train", "test") for k in ("py", "go") for f in (True, False)}
+    assert by["train", "py", False] == 3 and by["train", "go", False] == 1 and by["train", "py", True] == 2 and by["test", "py", False] == 1 and len(got) == 7
+    targets = {"train": {"py": 10}, "validation": {"py": 3}, "test": {"py": 5}}
+    assert sampling.repo_candidates(targets, "py") == 125 and sampling.repo_candidates(targets, "go") == 100
+    a, b = sampling.limited(d, d, 3, ["id"])
+    assert (a.count(), b.count()) == (3, 1) and sampling.limited(d, d, None, ["id"]) == (d, d)
+
+
 def test_examples_of_dirty_rows(spark):
     rows = spark.createDataFrame([("1", None, None, None, None, "90%", '{"score": 4}'), (None, "x", "y", None, None, None, None)], readers.INSTRUCTION)
     got = mixture.instruction_examples(mixture.with_tier(rows), "eer6_broad", F.col("tier")).collect()
