@@ -74,6 +74,22 @@ v as (select doc_id, ('0x' || substr(sha256(r), 1, 15))::bigint % {minhash.PRIME
 sig as (select doc_id, [{', '.join(f'min((v + ((v >> 29) | 1) * {s + 1} + {s * s}) % {minhash.PRIME})' for s in range(minhash.SLOTS))}] as sig from v group by doc_id)
 """
 _TEST_PATHS = "list_filter(list_concat(coalesce(fail_to_pass, []), coalesce(pass_to_pass, [])), lambda x: x is not null and x <> '')"
+_BAND = "len(list_filter(range(8), lambda z: {0}[z * 8 + 1:z * 8 + 8] = {1}[z * 8 + 1:z * 8 + 8])) > 0 and len(list_filter(list_zip({0}, {1}), lambda z: z[1] = z[2])) >= 0.85 * 64"
+
+
+def _near_sql(a: str, b: str) -> str:
+    """Two signatures share a band and enough slots."""
+    return _BAND.replace("{0}", a).replace("{1}", b)
+
+
+def _signed_sql(name: str, source: str) -> str:
+    """CTE ``name(key, sig)``: signatures of ``source (key, t)`` over SHA-256; a text without words has zeros."""
+    slots = ", ".join(f"min((v + ((v >> 29) | 1) * {k + 1} + {k * k}) % {minhash.PRIME})" for k in range(minhash.SLOTS))
+    return f"""{name}_w as (select key, case when {_norm('t')} = '' then [] else string_split({_norm('t')}, ' ') end as w from {source}), {name}_r as (select key, unnest({_SHINGLES}) as r from {name}_w),
+    {name}_s as (select key, [{slots}] as sig from (select key, ('0x' || substr(sha256(r), 1, 15))::bigint % {minhash.PRIME} as v from {name}_r) group by key),
+    {name} as (select {name}_w.key, coalesce(sig, [0 for i in range({minhash.SLOTS})]) as sig from {name}_w left join {name}_s using (key))"""
+
+
 #: DuckDB's list_distinct gives no order: the first of each kept by position.
 _ORDERED = "list_filter({0}, lambda x, i: list_position({0}, x) = i)"
 
@@ -146,14 +162,17 @@ def path_language(spark, d):
     return table(spark, d, "commit_rows").groupBy("new_file", language.path_language(F.col("new_file")).alias("language")).agg(F.count("*").alias("n"))
 
 
-@query(
-    "select id, coalesce(list_max(list_transform(regexp_extract_all(output, '(?s)```(?:[A-Za-z0-9_+.#-]+)?\\s*\\n(.*?)```', 1), lambda x: length(x))), 0) as longest, "
-    f"case when len(regexp_extract_all(output, '(?s)```(?:[A-Za-z0-9_+.#-]+)?\\s*\\n(.*?)```', 1)) = 0 then {_strip('output')} end as whole from instruction_rows where output is not null"
-)
+_FENCED = r"regexp_extract_all({0}, '(?s)```(?:[A-Za-z0-9_+.#-]+)?\s*\n(.*?)```', 1)"
+
+
+def _longest(c: str) -> str:
+    f = _FENCED.replace("{0}", c)
+    return _strip(f"coalesce(list_filter({f}, lambda x: length(x) = list_max(list_transform({f}, lambda y: length(y))))[1], {c})")
+
+
+@query(f"select id, {_longest('output')} as code from instruction_rows where output is not null")
 def fenced_code(spark, d):
-    rows = table(spark, d, "instruction_rows").where("output is not null")
-    bodies = F.regexp_extract_all("output", F.lit(r"(?s)```(?:[A-Za-z0-9_+.#-]+)?\s*\n(.*?)```"), 1)
-    return rows.select("id", F.coalesce(F.array_max(F.transform(bodies, F.length)), F.lit(0)).cast("long").alias("longest"), F.when(F.size(bodies) == 0, text.fenced_code(F.col("output"))).alias("whole"))
+    return table(spark, d, "instruction_rows").where("output is not null").select("id", text.fenced_code(F.col("output")).alias("code"))
 
 
 # --- diffs and tasks ---------------------------------------------------------------
@@ -225,7 +244,13 @@ def quality_tier(spark, d):
     return mixture.with_tier(table(spark, d, "instruction_rows")).select("id", "test_score", "least_judge", "tier")
 
 
-@query()
+@query(
+    """with r as (select row_number() over () as k, id, llm_judgement as j from instruction_rows),
+    walked as (select k, list(try_cast(t.value as double) order by t.id) as s from r, json_tree(r.j) t where json_valid(r.j) and t.key = 'score' and t.type in ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT') group by k)
+    select r.id, case when j is null then [] when json_valid(j) then coalesce(s, []) else """
+    + _JUDGE.replace("llm_judgement", "j")
+    + """ end as scores from r left join walked using (k)"""
+)
 def judge_scores_exact(spark, d):
     return table(spark, d, "instruction_rows").select("id", quality.judge_scores_exact(F.col("llm_judgement")).alias("scores"))
 
@@ -311,9 +336,23 @@ def minhash_compat(spark, d):
     return _docs(spark, d).select("doc_id", minhash.signature(F.col("text")).alias("sig"))
 
 
-@query()
+#: The low 64 bits of a product.
+_LOW64 = "& 18446744073709551615::uhugeint"
+
+
+@query(
+    f"""with w as (select doc_id, {_WORDS} as w from documents where text is not null),
+    runs as (select doc_id, unnest({_SHINGLES}) as r from w),
+    v as (select doc_id, ('0x' || substr(sha256(r), 1, 15))::bigint % {minhash.PRIME} as v from runs),
+    slots as (select unnest(range(64)) as slot),
+    x as (select doc_id, slot, ((v::uhugeint + (slot + 1)::uhugeint * {0x9E3779B97F4A7C15}::uhugeint) {_LOW64})::ubigint as x from v, slots),
+    a as (select doc_id, slot, (xor(x, x >> 30)::uhugeint * {0xBF58476D1CE4E5B9}::uhugeint {_LOW64})::ubigint as x from x),
+    b as (select doc_id, slot, (xor(x, x >> 27)::uhugeint * {0x94D049BB133111EB}::uhugeint {_LOW64})::ubigint as x from a),
+    m as (select doc_id, slot, min((xor(x, x >> 31) % {minhash.PRIME}::ubigint)::bigint) as m from b group by doc_id, slot)
+    select doc_id, list(m order by slot) as sig from m group by doc_id"""
+)
 def minhash_independent(spark, d):
-    return _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "independent").alias("sig"))
+    return _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "sha_independent").alias("sig"))
 
 
 @query(
@@ -328,30 +367,39 @@ def lsh_pairs(spark, d):
     return minhash.similar_pairs(_docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "sha").alias("sig")), "doc_id")
 
 
-def _near(spark, d, family):
-    signed = _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), family).alias("sig"))
-    return dedup.greedy_first_wins(signed, minhash.similar_pairs(signed, "doc_id"), "doc_id")
+_PAIRS = (
+    """, reps as (select sig, min(doc_id) as rep from sig group by sig),
+    b as (select rep, band, sig[band * 8 + 1:band * 8 + 8] as k from reps, range(8) t(band)),
+    cand as (select distinct x.rep as lo, y.rep as hi from b x join b y on x.band = y.band and x.k = y.k and x.rep < y.rep),
+    near as (select lo, hi from cand join reps l on l.rep = lo join reps r on r.rep = hi where len(list_filter(list_zip(l.sig, r.sig), lambda z: z[1] = z[2])) >= 0.85 * 64
+      union all select rep, doc_id from sig join reps using (sig) where doc_id <> rep)"""
+)
+#: A first-wins scan as a fold over the linked documents in order: one is dropped if an earlier one it is linked to was kept.
+_FIRST_WINS = """, lower as (select hi as x, list(lo) as before from near group by hi), node as (select x, coalesce(before, []) as before from (select lo as x from near union select hi from near) left join lower using (x)),
+    kept as (select list_reduce(list({'x': x, 'before': before} order by x), lambda acc, n: case when list_has_any(acc, n.before) then acc else list_append(acc, n.x) end, []::bigint[]) as kept from node)"""
 
 
-@query()
+@query(_SIGNED + _PAIRS + _FIRST_WINS + " select doc_id from sig, kept where not exists (select 1 from near where hi = doc_id or lo = doc_id) or list_contains(kept, doc_id)")
 def near_dedup_greedy(spark, d):
-    return _near(spark, d, "compat")
+    signed = _docs(spark, d).select("doc_id", minhash.signature(F.col("text"), "sha").alias("sig"))
+    return dedup.greedy_first_wins(signed, minhash.similar_pairs(signed, "doc_id"), "doc_id")
 
 
-@query()
-def near_dedup_independent(spark, d):
-    return _near(spark, d, "independent")
+_ITEMS = "items as (select min(item_id) as key, text as t from benchmark where text is not null group by text)"
 
 
-@query()
+@query(
+    f"""with docs as (select doc_id as key, text as t from documents where text is not null), {_ITEMS}, {_signed_sql('ours', 'docs')}, {_signed_sql('theirs', 'items')}
+    select distinct ours.key as doc_id from ours join theirs on {_near_sql('ours.sig', 'theirs.sig')} union select key from docs where {_norm('t')} in (select {_norm('t')} from items)"""
+)
 def benchmark_overlap(spark, d):
-    return dedup.decontaminate(_docs(spark, d), "doc_id", "text", table(spark, d, "benchmark"), "text")
+    return dedup.decontaminate(_docs(spark, d), "doc_id", "text", table(spark, d, "benchmark"), "text", family="sha")
 
 
-@query(f"select distinct doc_id from documents where {_norm('text')} in (select {_norm('text')} from benchmark)")
-def benchmark_exact(spark, d):
-    b = table(spark, d, "benchmark").select(text.normalize(F.col("text")).alias("n")).distinct()
-    return _docs(spark, d).select("doc_id", text.normalize(F.col("text")).alias("n")).join(b, "n", "left_semi").select("doc_id")
+@query(f"select dataset, item_id, {_strip('text')} as prompt from benchmark where dataset = 'stepcheck' union all select dataset, item_id, {_strip('text')} from benchmark where dataset <> 'stepcheck'")
+def eval_problems(spark, d):
+    b = table(spark, d, "benchmark").select("dataset", "item_id", text.strip(F.col("text")).alias("prompt"))
+    return b.where("dataset = 'stepcheck'").unionByName(b.where("dataset <> 'stepcheck'"))
 
 
 _LONG = 120
@@ -452,12 +500,40 @@ def recall_at_k(spark, d):
     return s.select("id", *[F.coalesce(f"file_recall_at_{k}", f"function_recall_at_{k}").alias(f"recall_at_{k}") for k in (1, 3, 5)])
 
 
-@query()
+_CODE = _longest("answer")
+_PREDICTED = f"case when len({_GIT.replace('patch', 'code')}) > 0 then {_GIT.replace('patch', 'code')} else {_NEW.replace('patch', 'code')} end"
+_SCORED = f"""with a as (select distinct on (id) id, task_type, {_ANSWER} as answer, metadata from normalized_examples where id is not null and {_ANSWER} is not null order by id),
+    f as (select *, {_CODE} as code, {_RANKED} as ranked, coalesce(metadata.changed_files, []) as files, coalesce(metadata.functions, []) as functions from a),
+    s as (select *, list_distinct({_PREDICTED}) as predicted from f)"""
+
+
+@query(
+    _SCORED
+    + " union all ".join(
+        [f" select 'file_recall_at_{k}' as metric, coalesce(avg({_RECALL.format(k=k).replace('expected', 'files')}), 0.0) as mean, count(*) as n from s where task_type = 'file_localization'" if k == 1 else f" select 'file_recall_at_{k}', coalesce(avg({_RECALL.format(k=k).replace('expected', 'files')}), 0.0), count(*) from s where task_type = 'file_localization'" for k in (1, 3, 5)]
+        + [f" select 'function_recall_at_{k}', coalesce(avg({_RECALL.format(k=k).replace('expected', 'functions')}), 0.0), count(*) from s where task_type = 'function_localization'" for k in (1, 3, 5)]
+        + [
+            " select 'valid_diff_rate', coalesce(avg((regexp_matches(code, '(?m)^--- ') and regexp_matches(code, '(?m)^\\+\\+\\+ '))::int::double), 0.0), count(*) from s where task_type = 'patch_generation'",
+            " select 'changed_file_precision', coalesce(avg(case when len(predicted) > 0 then len(list_intersect(files, predicted))::double / len(predicted) else 0.0 end), 0.0), count(*) from s where task_type = 'patch_generation'",
+        ]
+    )
+)
 def eval_summary(spark, d):
     e = table(spark, d, "normalized_examples").select("id", "task_type", F.element_at("messages", -1)["content"].alias("response"), "metadata").where("response is not null").dropDuplicates(["id"])
     return evaluation.summary(evaluation.score(e))
 
 
+@query("select task_type, count(*) as n from normalized_examples group by task_type")
+def eval_task_counts(spark, d):
+    return evaluation.task_counts(table(spark, d, "normalized_examples"))
+
+
+@query(f"with a as (select id as task_id, {_ANSWER} as answer from normalized_examples where task_type = 'code_generation' and {_ANSWER} is not null) select task_id, {_CODE} as solution, answer as raw_response from a")
+def eval_solutions(spark, d):
+    e = table(spark, d, "normalized_examples").where("task_type = 'code_generation'").select(F.col("id").alias("task_id"), F.element_at("messages", -1)["content"].alias("response"))
+    return evaluation.solutions(e.where("response is not null"))
+
+
 _REPORTS = [
     ("baseline", "benchmarks", "humaneval_plus_pass_at_1", 0.20), ("baseline", "benchmarks", "mbpp_plus_pass_at_1", 0.30), ("candidate", "benchmarks", "humaneval_plus_pass_at_1", 0.22),
     ("candidate", "", "mbpp_plus_pass_at_1", 0.31), ("candidate", "benchmarks", "mbpp_plus_pass_at_1", 0.05), ("candidate", "smoke", "finite_validation_loss", 1.0),
@@ -487,11 +563,31 @@ def largest_passing(spark, d):
     return gates.largest_passing(e.select(((F.col("event_id") % 7 + 1) * 1000).alias("length"), (F.col("value") > 20).alias("success"), ((F.col("event_id") % 13) / 50).alias("headroom_fraction")))
 
 
+_LEAVES = [x for names in gates.FAMILIES.values() for x in names] + ["norm", "embed"]
+_MODULES = f"select 'model.layers.' || p_partkey || '.' || {_LEAVES!r}[p_partkey % {len(_LEAVES)} + 1] as name, p_partkey as numel, p_size > 25 as trainable from part"
+
+
+def _modules(spark, d):
+    leaf = F.element_at(F.array(*[F.lit(x) for x in _LEAVES]), (F.col("p_partkey") % len(_LEAVES) + 1).cast("int"))
+    return table(spark, d, "part").select(F.concat(F.lit("model.layers."), "p_partkey", F.lit("."), leaf).alias("name"), F.col("p_partkey").alias("numel"), (F.col("p_size") > 25).alias("trainable"))
+
+
 @query(
-    "select case when split_part(p_name, ' ', 1) = '' then 'other' else 'other' end as family, count(*) as modules, sum(case when p_size > 25 then p_partkey else 0 end)::bigint as trainable, sum(p_partkey)::bigint as total from part group by 1"
+    f"""with m as ({_MODULES}), f as (select *, case {' '.join(f"when string_split(name, '.')[-1] in ({', '.join(map(_quote, v))}) then '{k}'" for k, v in gates.FAMILIES.items())} else 'other' end as family from m)
+    select family, count(*) as modules, sum(case when trainable then numel else 0 end)::bigint as trainable, sum(numel)::bigint as total from f group by family"""
 )
 def parameter_audit(spark, d):
-    return gates.parameter_audit(table(spark, d, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("numel"), (F.col("p_size") > 25).alias("trainable")))
+    return gates.parameter_audit(_modules(spark, d))
+
+
+@query(
+    f"""with m as (select case when numel % 9 = 0 then replace(name, 'model.layers', 'model.visual') else name end as name, numel, trainable from ({_MODULES}) where string_split(name, '.')[-1] not in ({', '.join(map(_quote, gates.FAMILIES['mlp']))}))
+    select 'missing projection families' as fault, ['mlp'] as names union all
+    select 'vision parameters are trainable', list(distinct name order by name) from m where trainable and name like '%.visual.%'"""
+)
+def audit_faults(spark, d):
+    m = _modules(spark, d).where(~F.substring_index("name", ".", -1).isin(gates.FAMILIES["mlp"]))
+    return gates.audit_faults(m.withColumn("name", F.when(F.col("numel") % 9 == 0, F.replace("name", F.lit("model.layers"), F.lit("model.visual"))).otherwise(F.col("name"))))
 
 
 @query("select c_name as name from customer where c_acctbal <= 5000 order by c_acctbal desc, c_name desc limit 1")
@@ -513,10 +609,22 @@ def bundle_differences(spark, d):
 # --- pipelines -----------------------------------------------------------------------------------
 
 
-@query()
+_SYSTEM = _quote(messages.SYSTEM_PROMPT)
+_WORDS_IN = "len(list_filter(string_split_regex({0}, '" + _SP.replace("[", "[", 1) + "+'), lambda x: x <> ''))"
+
+
+@query(
+    f"""with one as (select distinct on (id) * from instruction_rows where id is not null order by id, loaded_at), s as (select *, {_TEST} as test_score, coalesce(list_min({_JUDGE}), 0.0) as least_judge from one),
+    t as (select *, case when test_score >= 1 and least_judge >= 5 then 'A' when test_score >= 1 and least_judge >= 4 then 'B' when test_score >= 0.9 and least_judge >= 4 then 'C' when test_score >= 0.8 and least_judge >= 4 then 'D' end as tier from s),
+    m as (select *, {_strip("coalesce(input, '')")} as u, {_strip("coalesce(output, '')")} as a from t where tier is not null)
+    select 'eer6_broad:' || id as id, id as source_id, {_infer("coalesce(output, '')")} as language, tier as quality_tier, {_split("('eer6_broad:' || id)")} as split, u as question, a as answer,
+      {_WORDS_IN.replace("{0}", f"'<system>' || chr(10) || {_SYSTEM} || chr(10) || '<user>' || chr(10) || u || chr(10) || '<assistant>' || chr(10) || a")} as token_count from m"""
+)
 def instruction_examples(spark, d):
     rows = mixture.with_tier(mixture.latest(table(spark, d, "instruction_rows"), ["id"])).where("tier is not null")
-    return mixture.instruction_examples(rows, "eer6_broad", F.col("tier"))
+    e = mixture.instruction_examples(rows, "eer6_broad", F.col("tier"))
+    said = lambda i: F.col("messages")[i]["content"]
+    return e.select("id", "source_id", "language", "quality_tier", "split", said(1).alias("question"), said(2).alias("answer"), F.col("token_count").cast("long").alias("token_count"))
 
 
 @query()
@@ -532,12 +640,25 @@ def _benchmark(spark, d):
 COUNTS, MAX_TOKENS = {"refined": 35_000, "broad": 15_000, "commits": 10_000}, 8192
 
 
-@query()
+@query(
+    f"""with one as (select distinct on (id) * from instruction_rows where id is not null order by id, loaded_at),
+    m as (select id, row_number() over (order by {_hex('id')}, 'eer6_refined:' || id) as key, {_strip("coalesce(input, '')")} as u, {_strip("coalesce(output, '')")} as a from one),
+    n as (select *, {_WORDS_IN.replace("{0}", f"'<system>' || chr(10) || {_SYSTEM} || chr(10) || '<user>' || chr(10) || u || chr(10) || '<assistant>' || chr(10) || a")} > {MAX_TOKENS} as long from m),
+    asked as (select key, u as t from n where not long), {_ITEMS}, {_signed_sql('ours', 'asked')}, {_signed_sql('theirs', 'items')},
+    bad as (select distinct ours.key from ours join theirs on {_near_sql('ours.sig', 'theirs.sig')} union select key from asked where {_norm('t')} in (select {_norm('t')} from items)),
+    clean as (select key, u || chr(10) || a as t from n where not long and key not in (select key from bad)), {_signed_sql('said', 'clean')},
+    reps as (select sig, min(key) as rep from said group by sig), bands as (select rep, sig, z, sig[z * 8 + 1:z * 8 + 8] as k from reps, range(8) r(z)),
+    near as (select distinct x.rep as lo, y.rep as hi from bands x join bands y on x.z = y.z and x.k = y.k and x.rep < y.rep where len(list_filter(list_zip(x.sig, y.sig), lambda p: p[1] = p[2])) >= 0.85 * 64
+      union all select rep, key from said join reps using (sig) where key <> rep)"""
+    + _FIRST_WINS
+    + """ select id, key as rank, case when long then 'too_long' when key in (select key from bad) then 'benchmark_overlap' when key in (select hi from near) and not list_contains(kept, key) then 'duplicate' end as reason from n, kept"""
+)
 def accepted(spark, d):
     rows = mixture.instruction_examples(mixture.latest(table(spark, d, "instruction_rows"), ["id"]), "eer6_refined", F.lit("refined"))
     # ids and hashes alone are put in one order; the texts stay where they are
     ranks = rows.select("id", F.row_number().over(W.orderBy(hashing.hash_hex(F.col("source_id")), "id")).cast("long").alias("rank"))
-    return accepting.accept(rows.join(ranks, "id"), _benchmark(spark, d), "text", MAX_TOKENS, None).select("id", "rank", "reason")
+    judged = accepting.accept(rows.join(ranks, "id"), _benchmark(spark, d), "text", MAX_TOKENS, None, family="sha")
+    return judged.select(F.col("source_id").alias("id"), "rank", "reason")
 
 
 @query()
