@@ -627,9 +627,20 @@ def instruction_examples(spark, d):
     return e.select("id", "source_id", "language", "quality_tier", "split", said(1).alias("question"), said(2).alias("answer"), F.col("token_count").cast("long").alias("token_count"))
 
 
-@query()
+_LANG = _infer("''", "coalesce(lang, 'unknown')")
+
+
+@query(
+    f"""with one as (select distinct on (commit, new_file) * from commit_rows order by commit, new_file, loaded_at),
+    f as (select *, coalesce(nullif(old_file, ''), 'file') as o, coalesce(nullif(new_file, ''), nullif(old_file, ''), 'file') as n, nullif(repos, '') as repo, {_LANG} as own from one where coalesce(old_contents, '') <> coalesce(new_contents, '') and commit <> '')
+    select 'commitpackft:' || commit || ':' || n as id, repo as repo_id, {_infer("coalesce(new_contents, '')", "own")} as language, {_split("coalesce(repo, commit)")} as split,
+      {_strip("'Repository file: ' || o || chr(10) || chr(10) || 'Task: ' || coalesce(nullif(subject, ''), nullif(message, ''), 'Apply the requested change.') || chr(10) || chr(10) || 'Current content:' || chr(10) || '```' || coalesce(lang, '') || chr(10) || coalesce(old_contents, '') || chr(10) || '```' || chr(10) || chr(10) || 'Return the smallest correct unified diff.'")} as question,
+      '--- a/' || o || chr(10) || '+++ b/' || n as answer_head from f"""
+)
 def commit_examples(spark, d):
-    return mixture.commit_examples(mixture.latest(table(spark, d, "commit_rows"), ["commit", "new_file"]))
+    e = mixture.commit_examples(mixture.latest(table(spark, d, "commit_rows"), ["commit", "new_file"]))
+    said = lambda i: F.col("messages")[i]["content"]
+    return e.select("id", "repo_id", "language", "split", said(1).alias("question"), F.substring_index(said(2), "\n@@", 1).alias("answer_head"))
 
 
 def _benchmark(spark, d):
