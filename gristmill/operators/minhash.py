@@ -36,7 +36,7 @@ def _sha(run: str) -> int:
 # The formula of the compat slots, and the modulus.
 def _compat(v: np.ndarray) -> np.ndarray:
     step = (v >> 29) | 1
-    return ((v[:, None] + step[:, None] * (_SEEDS + 1) + _SEEDS * _SEEDS) % PRIME).min(axis=0)
+    return (v[:, None] + step[:, None] * (_SEEDS + 1) + _SEEDS * _SEEDS) % PRIME
 
 
 def _independent(v: np.ndarray) -> np.ndarray:
@@ -44,7 +44,43 @@ def _independent(v: np.ndarray) -> np.ndarray:
         x = v.astype(np.uint64)[:, None] + (_SEEDS + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return ((x ^ (x >> np.uint64(31))) % np.uint64(PRIME)).min(axis=0).astype(np.int64)
+        return ((x ^ (x >> np.uint64(31))) % np.uint64(PRIME)).astype(np.int64)
+
+
+#: Runs whose slots are computed together: a matrix of 4 MB.
+_RUNS_AT_ONCE = 8192
+
+
+def _signatures(texts: list[str | None], slots, digest, width: int) -> np.ndarray:
+    """A row of ``SLOTS`` least values for each text, by array operations over the runs of many texts."""
+    out = np.zeros((len(texts), SLOTS), np.int64)
+    rows, values, sizes, total = [], [], [], 0
+
+    def close() -> None:
+        nonlocal total
+        if rows:
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            v = np.array(values, np.int64)
+            for at in range(0, len(v), _RUNS_AT_ONCE) if len(rows) == 1 else ():
+                part = slots(v[at : at + _RUNS_AT_ONCE]).min(axis=0)
+                out[rows[0]] = part if at == 0 else np.minimum(out[rows[0]], part)
+            if len(rows) > 1:
+                out[rows] = np.minimum.reduceat(slots(v), starts, axis=0)
+        rows.clear(), values.clear(), sizes.clear()
+        total = 0
+
+    for i, normal in enumerate(texts):
+        runs = _runs(normal, width)
+        if not runs:
+            continue
+        if total and total + len(runs) > _RUNS_AT_ONCE:
+            close()
+        rows.append(i)
+        values.extend(map(digest, runs))
+        sizes.append(len(runs))
+        total += len(runs)
+    close()
+    return out
 
 
 def _runs(normal: str | None, width: int) -> set[str]:
@@ -64,11 +100,8 @@ def signature(text: Column, family: str = "compat", width: int = 5) -> Column:
 
     @F.arrow_udf("array<long>")
     def sign(col: pa.Array) -> pa.Array:
-        out = []
-        for normal in col.to_pylist():
-            runs = _runs(normal, width)
-            out.append(hashed(np.array([digest(r) for r in runs], np.int64)).tolist() if runs else [0] * SLOTS)
-        return pa.array(out, pa.list_(pa.int64()))
+        flat = _signatures(col.to_pylist(), hashed, digest, width).ravel()
+        return pa.ListArray.from_arrays(np.arange(len(col) + 1, dtype=np.int32) * SLOTS, flat)
 
     return sign(normalize(text))
 

@@ -286,18 +286,19 @@ def largest_remainder(spark, d):
     return sampling.apportion(n, "source", "w", 1000)
 
 
-_BACKFILL = {"en": 120, "de": 200, "fr": 20, "es": 20}
-
-
 @query(
-    f"""with q as (select * from (values {', '.join(f"('{k}', {v})" for k, v in _BACKFILL.items())}) t(lang, n)),
+    f"""with have as (select lang, count(*) as have from documents where lang in ('en', 'de', 'fr', 'es') group by lang), en as (select have from have where lang = 'en'),
+    q as (select lang, case when lang = 'de' then have + (select have from en) // 10 else have // 5 end as n, have from have),
     r as (select doc_id, documents.lang, n, row_number() over (partition by documents.lang order by doc_id) as rank from documents join q on q.lang = documents.lang),
-    short as (select sum(greatest(0, n - have)) as s from (select q.lang, any_value(n) as n, count(doc_id) as have from q left join documents on documents.lang = q.lang group by q.lang)),
+    short as (select sum(greatest(0, n - have)) as s from q),
     rest as (select doc_id, lang, row_number() over (order by {_hex('doc_id::varchar')}, doc_id) as k from r where rank > n)
     select doc_id, lang, false as filled from r where rank <= n union all select doc_id, lang, true from rest where k <= (select s from short)"""
 )
 def quota_backfill(spark, d):
-    return sampling.backfill(table(spark, d, "documents").select("doc_id", "lang"), "lang", _BACKFILL, ["doc_id"], F.col("doc_id"))
+    docs = table(spark, d, "documents").select("doc_id", "lang")
+    have = {r["lang"]: r["n"] for r in docs.where(F.col("lang").isin("en", "de", "fr", "es")).groupBy("lang").agg(F.count("*").alias("n")).collect()}  # four rows
+    quotas = {k: n + have.get("en", 0) // 10 if k == "de" else n // 5 for k, n in have.items()}  # more of one language than there is
+    return sampling.backfill(docs, "lang", quotas, ["doc_id"], F.col("doc_id"))
 
 
 @query(

@@ -7,10 +7,11 @@ fault occurs.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from gristmill.functions import arrays, messages
-from gristmill.operators import contracts, gates, sampling
-from gristmill.plans.catalog import _ANSWER, query
+from gristmill.functions import arrays, hashing, messages
+from gristmill.operators import contracts, gates, sampling, stats
+from gristmill.plans.catalog import _ANSWER, _SP, _hex, query
 from gristmill.session import table
 
 _NEEDED = [x for names in gates.FAMILIES.values() for x in names]
@@ -170,3 +171,83 @@ def trial_run(spark, d):
     of = lambda s: e.where(F.col("split") == s).groupBy("id").agg(F.min("loaded_at").alias("loaded_at"))
     train, validation = sampling.limited(of("train"), of("validation"), 100, ["loaded_at", "id"])
     return train.unionByName(validation).select("id")
+
+
+@query(f"select doc_id, row_number() over (order by {_hex('doc_id::varchar')}, doc_id) as place from documents")
+def seeded_shuffle(spark, d):
+    rows = sampling.shuffled(table(spark, d, "documents").select("doc_id"), F.col("doc_id"))
+    # the place of a row, from counts of hash ranges and its rank in its range, so that no task holds all rows
+    h = hashing.hash_hex(F.col("doc_id"))
+    ranged = rows.select("doc_id", h.alias("h"), F.substring(h, 1, 2).alias("lead"))
+    before = ranged.groupBy("lead").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(W.orderBy("lead").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # 256 rows
+    inside = F.row_number().over(W.partitionBy("lead").orderBy("h", "doc_id"))
+    return ranged.withColumn("r", inside).join(F.broadcast(before), "lead").select("doc_id", (F.col("r") + F.col("before")).alias("place"))
+
+
+@query("select event_id, value is null as absent from (select event_id, case event_id % 40 when 0 then null when 1 then 'nan'::double when 2 then 'infinity'::double when 3 then '-infinity'::double else value end as value from events) where value is null or not isfinite(value)")
+def not_finite(spark, d):
+    k = F.col("event_id") % 40
+    value = F.when(k == 0, None).when(k == 1, float("nan")).when(k == 2, float("inf")).when(k == 3, float("-inf")).otherwise(F.col("value"))
+    return gates.finite(table(spark, d, "events").select("event_id", value.alias("value")), "value").select("event_id", F.col("value").isNull().alias("absent"))
+
+
+@query("select 'out/checkpoint-' || max(event_id) filter (where event_id % 3 > 0) as path from events")
+def last_checkpoint(spark, d):
+    k = F.col("event_id").cast("string")
+    return gates.last_checkpoint(table(spark, d, "events").select(F.concat(F.lit("out/checkpoint-"), F.when(F.col("event_id") % 3 > 0, k).otherwise(F.concat(k, F.lit("-tmp")))).alias("path")))
+
+
+@query("select l_orderkey as k, count(*) filter (where l_quantity > 25)::int as supervised, count(*) filter (where not l_quantity > 25)::int as masked from lineitem group by 1")
+def supervised_counts(spark, d):
+    labels = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(F.when(F.col("l_quantity") > 25, F.col("l_linenumber")).otherwise(-100)).alias("labels"))
+    return labels.select("k", messages.supervised_counts(F.col("labels")).alias("c")).select("k", "c.supervised", "c.masked")
+
+
+_STAGE2 = [
+    ("baseline", "benchmarks", "humaneval_plus_pass_at_1", 0.20), ("baseline", "benchmarks", "mbpp_plus_pass_at_1", 0.30), ("candidate", "benchmarks", "humaneval_plus_pass_at_1", 0.19), ("candidate", "metrics", "mbpp_plus_pass_at_1", 0.27),
+    ("baseline", "repo", "file_recall_at_3", 0.4), ("candidate", "metrics", "file_recall_at_3", 0.42), ("baseline", "metrics", "patch_apply_rate", 0.1), ("candidate", "repo", "patch_apply_rate", 0.16),
+]
+
+
+@query(
+    f"""with r as (select * from (values {', '.join(f"('{a}', '{c}', {v}::double)" for a, _, c, v in _STAGE2)}) t(report, metric, v)), p as (select metric, max(v) filter (where report = 'baseline') as b, max(v) filter (where report = 'candidate') as c from r group by metric),
+    k as (select 'repo_gain_at_least_5pp' as check_name, max(c - b) filter (where metric in ('file_recall_at_3', 'patch_apply_rate')) >= 0.05 as passed from p union all select 'no_core_regression_over_2pp', max(b - c) filter (where metric like '%plus_pass_at_1') <= 0.02 from p)
+    select * from k union all select 'all', bool_and(passed) from k"""
+)
+def gate_compare_repo(spark, d):
+    return gates.compare(spark.createDataFrame(_STAGE2, "report string, section string, metric string, value double"), "stage2")
+
+
+@query(
+    f"""select id, len(list_filter(string_split_regex(array_to_string(list_transform(messages, lambda m: '<' || m.role || '>' || chr(10) || coalesce(m.content, '')), chr(10)), '{_SP}+'), lambda x: x <> ''))::int as tokens
+    from normalized_examples where len(list_filter(messages, lambda m: m.role is null)) = 0"""
+)
+def rendered_tokens(spark, d):
+    e = table(spark, d, "normalized_examples").where(~F.exists("messages", lambda m: m.role.isNull()))
+    return e.select("id", messages.message_tokens(F.col("messages")).alias("tokens"))
+
+
+@query(
+    """with m as (select event_id % 5 as k, case when event_type = 'click' then value end as a, case when event_id < 0 then value end as b from events)
+    select 'a' as metric, round(coalesce(avg(a), 0), 6) as mean, count(a) as n from m union all select 'b', round(coalesce(avg(b), 0), 6), count(b) from m"""
+)
+def metric_means(spark, d):
+    e = table(spark, d, "events").select(F.when(F.col("event_type") == "click", F.col("value")).alias("a"), F.when(F.col("event_id") < 0, F.col("value")).alias("b"))
+    return stats.means(e, "", ["a", "b"]).select("metric", F.round("mean", 6).alias("mean"), "n")
+
+
+#: Rows wanted of each split, for :func:`repo_need`.
+_WANTED = {"train": 5000, "validation": 100, "test": 100}
+
+
+@query(
+    """with n as (select lower(trim(language)) as language, count(*) as w from normalized_examples where language is not null group by 1), s as (select * from (values ('train', 5000, 3), ('validation', 100, 25), ('test', 100, 25)) t(split, total, times)),
+    x as (select language, split, times, total, total::double * w / sum(w) over (partition by split) as x from n, s), f as (select *, floor(x) as f from x),
+    q as (select *, f + case when row_number() over (partition by split order by x - f desc, language) <= total - sum(f) over (partition by split) then 1 else 0 end as quota from f)
+    select language, greatest(100, max(quota * times))::bigint as need from q group by language"""
+)
+def repo_need(spark, d):
+    n = table(spark, d, "normalized_examples").where("language is not null").groupBy(F.lower(F.trim("language")).alias("language")).agg(F.count("*").alias("n"))
+    weights = {r["language"]: float(r["n"]) for r in n.collect()}  # a row for each language
+    targets = {s: sampling.largest_remainder(total, weights) for s, total in _WANTED.items()}
+    return spark.createDataFrame([(k, sampling.repo_candidates(targets, k)) for k in weights], "language string, need long")
