@@ -47,39 +47,19 @@ def _independent(v: np.ndarray) -> np.ndarray:
         return ((x ^ (x >> np.uint64(31))) % np.uint64(PRIME)).astype(np.int64)
 
 
-#: Runs whose slots are computed together: a matrix of 4 MB.
-_RUNS_AT_ONCE = 8192
+#: Runs whose slots are computed together: a matrix that stays in the cache.
+_RUNS_AT_ONCE = 1024
 
 
 def _signatures(texts: list[str | None], slots, digest, width: int) -> np.ndarray:
-    """A row of ``SLOTS`` least values for each text, by array operations over the runs of many texts."""
+    """A row of ``SLOTS`` least values for each text; runs are hashed one by one, their slots as matrices."""
     out = np.zeros((len(texts), SLOTS), np.int64)
-    rows, values, sizes, total = [], [], [], 0
-
-    def close() -> None:
-        nonlocal total
-        if rows:
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            v = np.array(values, np.int64)
-            for at in range(0, len(v), _RUNS_AT_ONCE) if len(rows) == 1 else ():
-                part = slots(v[at : at + _RUNS_AT_ONCE]).min(axis=0)
-                out[rows[0]] = part if at == 0 else np.minimum(out[rows[0]], part)
-            if len(rows) > 1:
-                out[rows] = np.minimum.reduceat(slots(v), starts, axis=0)
-        rows.clear(), values.clear(), sizes.clear()
-        total = 0
-
     for i, normal in enumerate(texts):
-        runs = _runs(normal, width)
-        if not runs:
-            continue
-        if total and total + len(runs) > _RUNS_AT_ONCE:
-            close()
-        rows.append(i)
-        values.extend(map(digest, runs))
-        sizes.append(len(runs))
-        total += len(runs)
-    close()
+        v = np.fromiter(map(digest, _runs(normal, width)), np.int64)
+        if len(v):
+            out[i] = slots(v[:_RUNS_AT_ONCE]).min(axis=0)
+            for at in range(_RUNS_AT_ONCE, len(v), _RUNS_AT_ONCE):
+                np.minimum(out[i], slots(v[at : at + _RUNS_AT_ONCE]).min(axis=0), out=out[i])
     return out
 
 
