@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Spellings of a programming language and the name they stand for.
-LANGUAGE_SPELLINGS = {
-    "py": "python", "python3": "python", "js": "javascript", "jsx": "javascript",
-    "ts": "typescript", "tsx": "typescript", "c++": "cpp", "cc": "cpp", "cxx": "cpp",
-    "golang": "go", "rs": "rust", "bash": "shell", "sh": "shell",
-}
+from gristmill.functions.language import ALIASES
+
+# Spellings of a programming language beside those of the core, and the name they stand for.
+LANGUAGE_SPELLINGS = ALIASES | {"golang": "go", "rs": "rust"}
 
 
 def slug(c: Column) -> Column:

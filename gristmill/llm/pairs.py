@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import latest_copy
+from gristmill.llm.common import LANGUAGE_SPELLINGS, latest_copy
 
 DEFECTS = ("empty", "refusal", "echo", "truncated", "wrong_language")
 
@@ -398,10 +398,7 @@ _ASKED_CODE = [
     re.compile(rf"\b(?:función|fonction|programa|programme|código|code|script|rutina)\s+(?:en\s+)?(?:{_ANY_NAME})(?![\w+#])"),
     re.compile(rf"(?<![\w/.-])(?:{_ANY_NAME})(?![\w+#])\s+(?:service|helper|module|library|Dienst|Modul)"),
 ]
-_LABELS = {
-    "py": "python", "python3": "python", "js": "javascript", "jsx": "javascript", "node": "javascript", "ts": "typescript", "tsx": "typescript", "c++": "cpp", "cc": "cpp",
-    "cxx": "cpp", "golang": "go", "rs": "rust", "bash": "shell", "sh": "shell", "zsh": "shell", "cs": "csharp", "c#": "csharp", "rb": "ruby", "kt": "kotlin",
-}
+_LABELS = LANGUAGE_SPELLINGS | {"node": "javascript", "zsh": "shell", "cs": "csharp", "c#": "csharp", "rb": "ruby", "kt": "kotlin"}
 _SIGNS = {
     k: re.compile(v, re.M)
     for k, v in {

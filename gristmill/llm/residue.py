@@ -88,7 +88,14 @@ FAMILIES = {
         r"(?i)^\W*checking your browser|\bscripts and cookies must be allowed\b|<noscript>",
     ],
 }
-_FAMILIES = [(KINDS.index(k), i, re.compile(p)) for k, ps in FAMILIES.items() for i, p in enumerate(ps)]
+# What a line must hold, in lower case, for a family's pattern to match; the patterns are tried only there.
+_HOLDS = {
+    "placeholder": ["{", "<% {% %(", "__ @@ % xxxx", "[[", "<", "[", "( _", "[object undefined null nan none"],
+    "filler": ["lorem dolor consectetur", "here place ici aquí acá", "text conten", "nothing soon construc disponible próximamente proximamente", "to be intentionally replace", "hier folgt aufbau bearbeitung noch rien todavía aún"],
+    "error_page": ["4 5 error erreur fehler http", "denied verweigert refusé denegado session sitzung sesión", "page seite página", "unavailable large internal gateway many rate", "wrong occurred erreur fehler error notified", "connection fatal uncaught unhandled traceback"],
+    "script_notice": ["script js", "script", "script", "browser script"],
+}
+_FAMILIES = [(KINDS.index(k), i, re.compile(p), _HOLDS[k][i].split()) for k, ps in FAMILIES.items() for i, p in enumerate(ps)]
 #: Sentences that talk about such things: a subject of its own, and a verb that acts on them.
 _ABOUT = re.compile(
     r"(?i)\b(?:tells? readers|we filled|our \w+ templates|gets? an? \d{3}|is treated as|returns? an? \d{3}|the call\b|there is an? todo|responds? with|throws?|logs?|retries|tries \d+|when the (?:server|user)|if the (?:server|user|page)|for example|such as|e\.g\.|so that|yet our)\b"
@@ -125,8 +132,9 @@ def visible(text: str) -> str:
 
 def weak_label(line: str) -> tuple[int, int]:
     """Kind and family of a visible line by the patterns; kind 0 where none matches, -1 where the line talks about such things."""
-    for kind, family, pattern in _FAMILIES:
-        if pattern.search(line):
+    low = line.lower()
+    for kind, family, pattern, holds in _FAMILIES:
+        if any(x in low for x in holds) and pattern.search(line):
             return (-1, family) if _ABOUT.search(line) else (kind, family)
     return 0, 0
 
