@@ -337,6 +337,8 @@ def breaks_off(answer: str, question: str) -> bool:
         token = item.group(1).strip()
         if re.search(rf"(?<![\w./]){re.escape(token)}(?![\w./-]|\.\w)", question):
             return False
+        if token.isalpha() and any(len(_WORD.findall(x)) >= 4 for x in text.split("\n")[:-1]):
+            return True  # a lone word where sentences stood before
         return re.search(rf"(?<![\w./]){re.escape(token)}[\w./-]", question) is not None or ("/" in token and "." not in token.rsplit("/", 1)[-1])
     if left:
         return True
