@@ -60,6 +60,7 @@ _CATEGORIES = {
     "s": "i we ich wir je j nous yo",  # who speaks
     "n": "not no never t nt cannot nicht kein keine ne n pas",  # negation; t as in can't
     "a": "can could able unable allowed permitted willing comfortable kann können darf dürfen möchte werde lage peux puis pouvons pourrai saurais suis autorisé puedo podemos podré posible",  # ability or leave
+    "p": "permitted allowed possible erlaubt gestattet möglich permis permise possible permitido permitida posible",  # leave, said of the act
     "m": "must have has need needs will would going muss müssen dois devons vois préfère debo debemos tengo veo",  # force
     "d": "decline refuse pass turn declined refused ablehnen passen verweigern refuser décliner passer rechazar declinar negarme",  # declining
     "h": "help assist answer comply complete write do provide produce producing fulfil fulfill share support continue respond discuss generate create give given offer offered engage take work carry handle proceed go be this that on to with "
@@ -89,6 +90,7 @@ _PRODUCTIONS = [
     rf"{_IS('m')}{_IS('s')}{_ANY}{{0,5}}{_IS('d')}",  # muss ich ablehnen
     rf"{_IS('s')}{_IS('n')}{_IS('a')}",  # je ne peux
     rf"{_IS('n')}{_ANY}{{0,1}}{_IS('a')}{_ANY}{{0,3}}{_IS('h')}",  # no puedo ayudar
+    rf"{_IS('n')}{_ANY}{{0,3}}{_IS('p')}{_ANY}{{0,3}}{_IS('h')}",  # no me está permitido responder
     rf"{_IS('m')}{_ANY}{{0,2}}{_IS('d')}(?={_ANY}{{0,4}}(?:{_IS('r')}|$))",  # debo rechazar
     rf"{_IS('x')}{_ANY}{{0,3}}$|m,{_IS('x')}",  # il m'est impossible
 ]
@@ -357,11 +359,13 @@ FUNCTION_WORDS = {
     "en": "the and of to that with if is are was when which so must while a an this it for not be by from has have you your",
     "de": "der die das und nicht wenn mit einen eine ein den zu ist soll dem daher auch noch wird werden sich bei muss muß obwohl weil nach dass",
     "fr": "le la les et ne pas que un une dans avec est il faut donc chaque des du sur pour par plus mais ce cette si nous vous",
-    "es": "el la los las y no que un una con es hay se para por cada cuando del así su sus pero como más porque ya",
+    "es": "el la los las y no que un una con es hay se para por cada cuando del así su sus pero como más porque ya desde al lo hasta sin sobre entre también",
     "it": "il lo gli e non che un una con è per di della sono ogni quando anche più ma come questo nel",
     "pt": "o os as e não que um uma com é para por cada quando do da mas como mais porque já seu sua no na",
     "nl": "de het en niet als met een zijn is voor van dat te op ook wordt maar bij naar nog elke",
 }
+# Endings that only words of one of these languages have.
+_ENDINGS = {"es": ("ción", "sión", "ciones", "miento", "dades"), "pt": ("ção", "são", "ções", "dade"), "it": ("zione", "zioni", "tà"), "de": ("ung", "keit", "heit", "ungen"), "nl": ("heid", "lijk")}
 _WORDS_OF = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()}
 _HUMAN = {
     "en": r"english|englisch\w*|anglais\w*|ingl[eé]s\w*|inglese", "de": r"german|deutsch\w*|allemand\w*|alem[aá]n\w*|tedesco",
@@ -382,7 +386,7 @@ def human_language(text: str) -> tuple[str | None, int]:
         c = other[0][0]
         name = unicodedata.name(c, "").split(" ")[0]
         return {"CYRILLIC": "ru", "CJK": "zh", "HIRAGANA": "ja", "KATAKANA": "ja", "HANGUL": "ko"}.get(name, name.lower()), len(other)
-    score = {k: sum(w in v for w in words) for k, v in _WORDS_OF.items()}
+    score = {k: sum(w in v for w in words) + sum(w.endswith(_ENDINGS.get(k, ())) for w in words if len(w) > 5) for k, v in _WORDS_OF.items()}
     best = max(score, key=score.get)
     second = max(v for k, v in score.items() if k != best)
     return (best, score[best] - second) if score[best] >= 2 and score[best] > second else (None, 0)
