@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gristmill.operators import accept, dedup, gates, minhash, sampling, stats
+from gristmill.operators import accept, contracts, dedup, gates, minhash, sampling, stats
 from gristmill.plans import mixture, repo_context
 from gristmill.sources import readers, writers
 from gristmill.streaming import incremental
@@ -193,6 +193,58 @@ def test_examples_of_dirty_rows(spark):
     assert mixture.commit_examples(spark.createDataFrame([], readers.COMMIT)).count() == 0
 
 
+def test_contracts_name_every_fault(spark):
+    sound = ("ok", None, None, True, None, None, None, None, 4096)
+    bad = ("bad", True, False, False, 16, 32, 0.1, ["q_proj"], 100)
+    got = contracts.setting_faults(spark.createDataFrame([sound, bad], contracts.SETTINGS)).collect()
+    assert {r.run for r in got} == {"bad"} and {r.fault for r in got} == {"quantized", "not_16bit", "not_bf16", "adapter_size", "dropout", "missing_projections", "length"}
+    m = spark.createDataFrame([("a", True, "true"), ("b", True, "1"), ("c", False, None), ("d", None, "true")], "name string, present boolean, complete string")
+    assert {(r.name, r.fault) for r in contracts.manifest_faults(m).collect()} == {("b", "incomplete"), ("c", "missing"), ("d", "missing")}
+    schema = "run string, stage string, gate_required boolean, gate_present boolean, gate_stage string, gate_passed boolean, adapter_present boolean, adapter_stage string"
+    runs = [("1", "stage2", None, True, "stage1", True, True, "stage1"), ("2", "stage2", None, False, None, None, False, None), ("3", "stage2", False, False, None, None, True, "stage2"), ("4", "publish", None, None, None, None, True, "stage1"), ("5", "stage1", None, None, None, None, None, None)]
+    got = {(r.run, r.fault) for r in contracts.lineage_faults(spark.createDataFrame(runs, schema)).collect()}
+    assert got == {("2", "gate_missing"), ("2", "adapter_missing"), ("3", "adapter_stage"), ("4", "adapter_stage")}
+    b = spark.createDataFrame([("x", "/d/s1.jsonl", "/d/repo.jsonl"), ("y", "/d/$A/s.jsonl", "/e/r.jsonl")], "bundle string, stage1_path string, repo_path string")
+    assert {(r.bundle, r.fault) for r in contracts.layout_faults(b).collect()} == {("y", "unresolved"), ("y", "two_directories")}
+    files = contracts.layout(b).where("bundle = 'x'")
+    assert sorted(r.name for r in files.collect()) == ["repo.jsonl", "repo.manifest.json", "s1.jsonl", "s1.manifest.json"]
+    faults = contracts.bundle_faults(b.where("bundle = 'x'"), files.where("name <> 's1.jsonl'"), files.where("name like '%.manifest.json'").withColumn("complete", F.when(F.col("name") == "repo.manifest.json", "yes").otherwise("true")))
+    assert {(r.name, r.fault) for r in faults.collect()} == {("s1.jsonl", "missing file"), ("repo.manifest.json", "incomplete manifest")}
+    assert contracts.repository_id_faults(spark.createDataFrame([("a/b",), ("a",), ("a/b/c",), (None,)], "r string"), "r").count() == 3
+    o = spark.createDataFrame([("p", ["1", "2"]), ("q", ["1"])], "probe string, outputs array<string>")
+    assert contracts.output_faults(o, o).count() == 0 and contracts.output_faults(o, o.withColumn("outputs", F.reverse("outputs"))).first()["probe"] == "p"
+
+
+def test_audits_and_failed_probes(spark):
+    m = spark.createDataFrame([("m.q_proj", 2, True), ("m.out_proj", 3, False), ("m.up_proj", 4, False), ("m.visual.x", 5, True)], "name string, numel long, trainable boolean")
+    assert [(r.fault, r.names) for r in gates.audit_faults(m).collect()] == [("vision parameters are trainable", ["m.visual.x"])]
+    got = {r.fault: r.names for r in gates.audit_faults(m.where("name = 'm.up_proj'")).collect()}
+    assert got == {"missing projection families": ["full_attention", "linear_attention"], "nothing is trainable": []}
+    lines = [("a", 1, 'R:{"length": 5, "success": true, "headroom_fraction": 0.2}', "out", 5, 1), ("a", 2, "e" * 5000, "err", 5, 1), ("b", 1, "no mark", "out", 7, 0)]
+    r = {x.probe: x for x in gates.probe_results(spark.createDataFrame(lines, "probe string, line_no int, line string, stream string, length int, exit_code int"), "R:").collect()}
+    assert (r["a"].success, r["a"].length, len(r["a"].error)) == (False, 5, gates.ERROR_TAIL) and (r["b"].length, r["b"].error) == (7, "no mark")
+    assert gates.probe_lengths(spark.createDataFrame([(9,), (3,), (9,)], "length int")).first()["lengths"] == [3, 9]
+
+
+def test_counts_by_window(spark, tmp_path):
+    spark.sql("select 'a' as k, timestamp'2024-01-01 00:00:01' as ts union all select 'a', timestamp'2024-01-01 00:00:09' union all select 'b', timestamp'2024-01-01 00:00:11' union all select null, null").write.parquet(f"{tmp_path}/in")
+    s = spark.readStream.schema("k string, ts timestamp").parquet(f"{tmp_path}/in")
+    q = incremental.counts_by_window(s, "k", "ts", "1 minute", "10 seconds").writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r.k, r.n) for r in spark.table("windows").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_a_source_that_is_full_blocks_no_later_row(spark):
+    say = lambda t: [("user", t), ("assistant", "done " + t)]
+    words = "one two three four five six seven eight nine ten".split()
+    texts = {1: " ".join(words), 2: " ".join(words[::-1]), 3: " ".join(w + "x" for w in words)}
+    rows = [(1, 0, 5, say(texts[1])), (2, 0, 5, say(texts[2])), (11, 1, 5, say(texts[2])), (12, 1, 5, say(texts[1])), (13, 1, 500, say(texts[3])), (14, 1, 5, None)]
+    c = spark.createDataFrame(rows, "rank long, source_no int, token_count int, messages array<struct<role:string,content:string>>")
+    bench = spark.createDataFrame([("nothing of the kind",)], "text string")
+    got = {r["rank"]: r.reason for r in accept.accept(c, bench, "text", 100, {0: 1, 1: None}).collect()}
+    assert got == {1: None, 11: None, 12: "duplicate", 13: "too_long", 14: None}
+
+
 def test_streaming_dedup(spark, tmp_path):
     spark.sql("select 'A b' as t, timestamp'2024-01-01 00:00:00' as ts union all select 'a  B!', timestamp'2024-01-01 00:00:01' union all select 'c', timestamp'2024-01-01 00:00:02'").write.parquet(f"{tmp_path}/in")
     s = spark.readStream.schema("t string, ts timestamp").parquet(f"{tmp_path}/in")
