@@ -101,20 +101,54 @@ def banded(df: DataFrame, key: str, sig: str = "sig", bands: int = BANDS) -> Dat
     return df.select(key, F.posexplode(hashes).alias("band", "h"))
 
 
+#: Representatives that share one band and are still compared with each other directly.
+HOT_BAND = 1_000
+
+
+def _candidates(b: DataFrame) -> DataFrame:
+    """``lo, hi`` of every two representatives that share all columns beside ``_rep``."""
+    keys = [c for c in b.columns if c != "_rep"]
+    l, r = b.withColumnRenamed("_rep", "lo"), b.withColumnRenamed("_rep", "hi")  # noqa: E741
+    return l.join(r, keys).where("lo < hi").select("lo", "hi")
+
+
+def _parts_of_hot_bands(hot: DataFrame, reps: DataFrame, sig: str, bands: int, threshold: float) -> DataFrame:
+    """``_rep, band, h, part, ph``: the members of hot bands, by parts of their other slots.
+
+    Two signatures that reach the threshold differ in few slots.  The slots beside
+    the band are cut into more parts than may differ, so such a pair shares at
+    least one part, and members meet only where they do.
+    """
+    rows = SLOTS // bands
+    differ = SLOTS - int(np.ceil(threshold * SLOTS - 1e-9))
+    width = max(1, (SLOTS - rows) // (differ + 1))
+    other = F.concat(F.slice(F.col(sig), F.lit(1), F.col("band") * rows), F.slice(F.col(sig), (F.col("band") + 1) * rows + 1, F.lit(SLOTS)))
+    parts = F.transform(F.sequence(F.lit(0), F.lit((SLOTS - rows) // width - 1)), lambda p: F.xxhash64(p, F.slice(F.col("_o"), p * width + 1, F.lit(width))))
+    d = hot.join(reps, "_rep").withColumn("_o", other)
+    return d.select("_rep", "band", "h", F.posexplode(parts).alias("part", "ph"))
+
+
 def similar_pairs(df: DataFrame, key: str, threshold: float = 0.85, sig: str = "sig", bands: int = BANDS) -> DataFrame:
     """``lo, hi, similarity`` of keys whose signatures share a band and reach the threshold.
 
     Equal signatures are one class first: a class is linked to its least key by
     one pair each (similarity 1), and only the classes' representatives meet in
-    the bands, so a hot group of copies makes no quadratic list.
+    the bands, so a hot group of copies makes no quadratic list.  In a band that
+    many representatives share, those meet that share a part of the other slots
+    as well (:func:`_parts_of_hot_bands`); no pair of the threshold is lost.
     """
     df = durable(df.select(key, sig))
     reps = durable(df.groupBy(sig).agg(F.min(key).alias("_rep")))
     members = df.join(reps, sig)
     copies = members.where(F.col(key) != F.col("_rep")).select(F.col("_rep").alias("lo"), F.col(key).alias("hi"), F.lit(1.0).alias("similarity"))
     b = banded(reps, "_rep", sig, bands)
-    l, r = b.select(F.col("_rep").alias("lo"), "band", "h"), b.select(F.col("_rep").alias("hi"), "band", "h")  # noqa: E741
-    cand = l.join(r, ["band", "h"]).where("lo < hi").select("lo", "hi").distinct()
+    shared = b.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1")
+    b = durable(b.join(shared, ["band", "h"]))
+    cand = _candidates(b.where(F.col("n") <= HOT_BAND).drop("n"))
+    hot = b.where(F.col("n") > HOT_BAND).drop("n")
+    if not hot.isEmpty():
+        cand = cand.unionByName(_candidates(_parts_of_hot_bands(hot, reps, sig, bands, threshold)))
+    cand = cand.distinct()
     both = cand.join(reps.select(F.col("_rep").alias("lo"), F.col(sig).alias("_a")), "lo").join(reps.select(F.col("_rep").alias("hi"), F.col(sig).alias("_b")), "hi")
     near = both.withColumn("similarity", similarity(F.col("_a"), F.col("_b"))).where(F.col("similarity") >= threshold)
     return near.select("lo", "hi", "similarity").unionByName(copies)

@@ -66,6 +66,26 @@ def _examples(spark, texts):
     return spark.createDataFrame(rows, "rank long, messages array<struct<role:string,content:string>>, token_count int")
 
 
+def test_hot_bands_lose_no_pair(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    base = [rng.randrange(1000) for _ in range(minhash.SLOTS)]
+    rows = []
+    for i in range(60):
+        sig = list(base)
+        for k in rng.sample(range(8 if i % 2 else 0, minhash.SLOTS), rng.randrange(1, 7)):
+            sig[k] = rng.randrange(1000)
+        rows.append((i, sig))
+    d = spark.createDataFrame(rows, "id long, sig array<long>")
+    once = {tuple(r) for r in minhash.similar_pairs(d, "id").collect()}
+    bands = lambda s: [tuple(s[b * 8 : b * 8 + 8]) for b in range(8)]
+    want = {(a, b) for a, x in rows for b, y in rows if a < b and any(p == q for p, q in zip(bands(x), bands(y))) and sum(p == q for p, q in zip(x, y)) >= 0.85 * 64}
+    assert {r[:2] for r in once} == want and len(want) > 100
+    monkeypatch.setattr(minhash, "HOT_BAND", 2)
+    assert {tuple(r) for r in minhash.similar_pairs(d, "id").collect()} == once
+
+
 def test_accept_reasons_and_stop(spark):
     bench = spark.createDataFrame([("write a function that adds two numbers together now",)], "text string")
     c = _examples(spark, [("Write a function that adds two numbers together now!", "x", 5), ("question one two three four", "answer", 5), ("Question ONE two three four", "answer", 5), ("long", "long", 500), ("another question of some words", "yes", 5), ("never looked at by the scan", "no", 5)])
