@@ -93,7 +93,7 @@ _HOLDS = {
     "placeholder": ["{", "<% {% %(", "__ @@ % xxxx", "[[", "<", "[", "( _", "[object undefined null nan none"],
     "filler": ["lorem dolor consectetur", "here place ici aquí acá", "text conten", "nothing soon construc disponible próximamente proximamente", "to be intentionally replace", "hier folgt aufbau bearbeitung noch rien todavía aún"],
     "error_page": ["4 5 error erreur fehler http", "denied verweigert refusé denegado session sitzung sesión", "page seite página", "unavailable large internal gateway many rate", "wrong occurred erreur fehler error notified", "connection fatal uncaught unhandled traceback"],
-    "script_notice": ["script js", "script", "script", "browser script"],
+    "script_notice": ["script skript js", "script", "script skript", "browser script"],
 }
 _FAMILIES = [(KINDS.index(k), i, re.compile(p), _HOLDS[k][i].split()) for k, ps in FAMILIES.items() for i, p in enumerate(ps)]
 #: Sentences that talk about such things: a subject of its own, and a verb that acts on them.

@@ -133,3 +133,12 @@ def test_tiling_against_brute_force():
                 if k == most and not any(used_a[i : i + k]) and not any(used_b[j : j + k]):
                     used_a[i : i + k] = used_b[j : j + k] = [True] * k
         assert pairs.tiled(a, b) == sum(used_a)
+
+
+def test_what_a_pattern_needs_is_stated_in_full():
+    import pandas as pd
+
+    for text in pd.read_parquet("/root/testdata/sf0.01/documents.parquet").text.dropna():
+        for line in residue.visible(text).split("\n"):
+            for _, _, pattern, holds in residue._FAMILIES:
+                assert not pattern.search(line) or any(x in line.lower() for x in holds), (line, pattern.pattern)
