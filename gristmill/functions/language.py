@@ -29,6 +29,7 @@ SIGNS = [
     ("shell", r"^#!.*\b(?:bash|sh)\b"),
     ("sql", r"\bSELECT\b.+\bFROM\b"),
 ]
+# Fixed value: the label of a fenced block.
 FENCE_LABEL = r"```\s*([A-Za-z0-9_+.#-]+)"
 
 

@@ -79,6 +79,7 @@ def truncate_tokens(c: Column, budget: Column) -> Column:
     join = lambda a: F.array_join(a, " ")
 
     def cut(t: Column) -> Column:
+        # Fixed value: the mark of a cut.
         both = F.concat(join(F.slice(t, F.lit(1), left)), F.lit("\n...<TRUNCATED>...\n"), join(F.slice(t, F.size(t) - right + 1, right)))
         head = join(F.slice(t, F.lit(1), F.greatest(budget, F.lit(0)).cast("int")))
         return F.when(F.size(t) <= budget, c).when(budget < 32, head).otherwise(both)

@@ -32,6 +32,7 @@ def compare(report: DataFrame, stage: str, baseline: str = "baseline", candidate
     worst = F.greatest(*[at(baseline, k) - at(candidate, k) for k in core])
     repo = F.greatest(*[at(candidate, k) - at(baseline, k) for k in ("file_recall_at_3", "patch_apply_rate")])
     smoke = lambda k: F.max(F.when((F.col("report") == candidate) & (F.col("metric") == k), F.col("value")))
+    # The names of the checks and their thresholds.
     if stage == "stage1":
         checks = {
             "core_average_gain_at_least_1pp": gain >= 0.01, "no_core_regression_over_2pp": worst <= 0.02,

@@ -34,6 +34,7 @@ def _sha(run: str) -> int:
 
 
 # The formula of the compat slots, and the modulus.
+# The formulas of the slots and their modulus.
 def _compat(v: np.ndarray) -> np.ndarray:
     step = (v >> 29) | 1
     return (v[:, None] + step[:, None] * (_SEEDS + 1) + _SEEDS * _SEEDS) % PRIME

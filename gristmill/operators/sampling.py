@@ -206,6 +206,20 @@ def shuffled(df: DataFrame, key: Column, seed: int = DEFAULT_SEED) -> DataFrame:
     return df.orderBy(hash_hex(key, seed))
 
 
+def hash_rank(df: DataFrame, key: Column, tie: str, seed: int = DEFAULT_SEED, name: str = "place") -> DataFrame:
+    """Place of every row in the order of its key hash, then of ``tie``, counted from 1.
+
+    A place is the number of rows in the lower hash ranges plus the rank inside
+    the range, so no task orders the whole table.
+    """
+    h = hash_hex(key, seed)
+    d = df.withColumn("_h", h).withColumn("_lead", F.substring(h, 1, 3))
+    before = d.groupBy("_lead").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_lead").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # 4,096 rows
+    inside = F.row_number().over(W.partitionBy("_lead").orderBy("_h", tie))
+    placed = d.withColumn("_r", inside).join(F.broadcast(before.drop("_n")), "_lead")
+    return placed.withColumn(name, F.col("_r") + F.col("_before")).drop("_h", "_lead", "_r", "_before")
+
+
 def shortages(wanted: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """``key, missing`` where fewer rows were found than wanted (columns ``wanted`` and ``actual``)."""
     short = F.col("wanted") - F.coalesce("actual", F.lit(0))

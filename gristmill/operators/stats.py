@@ -22,7 +22,7 @@ def token_stats(df: DataFrame, value: str, quantiles: dict[str, float] | None =
     """``min, p50, p90, p99, max`` by lower nearest rank, index ``int((n - 1) * p)``; zeros for no rows.
 
     The ranks come from counts of each distinct value, so the table is reduced to
-    its distinct values before anything is ordered.
+    its distinct values, a bounded number for token counts, before anything is ordered.
     """
     q = quantiles or {"p50": 0.50, "p90": 0.90, "p99": 0.99}
     n = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("long").alias("v")).agg(F.count("*").alias("n"))

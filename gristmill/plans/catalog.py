@@ -668,7 +668,7 @@ COUNTS, MAX_TOKENS = {"refined": 35_000, "broad": 15_000, "commits": 10_000}, 81
 def accepted(spark, d):
     rows = mixture.instruction_examples(mixture.latest(table(spark, d, "instruction_rows"), ["id"]), "eer6_refined", F.lit("refined"))
     # ids and hashes alone are put in one order; the texts stay where they are
-    ranks = rows.select("id", F.row_number().over(W.orderBy(hashing.hash_hex(F.col("source_id")), "id")).cast("long").alias("rank"))
+    ranks = sampling.hash_rank(rows.select("id", "source_id"), F.col("source_id"), "id", name="rank").drop("source_id")
     judged = accepting.accept(rows.join(ranks, "id"), _benchmark(spark, d), "text", MAX_TOKENS, None, family="sha")
     return judged.select(F.col("source_id").alias("id"), "rank", "reason")
 

@@ -7,9 +7,8 @@ fault occurs.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from gristmill.functions import arrays, hashing, messages
+from gristmill.functions import arrays, messages
 from gristmill.operators import contracts, gates, sampling, stats
 from gristmill.plans.catalog import _ANSWER, _SP, _hex, query
 from gristmill.session import table
@@ -175,13 +174,7 @@ def trial_run(spark, d):
 
 @query(f"select doc_id, row_number() over (order by {_hex('doc_id::varchar')}, doc_id) as place from documents")
 def seeded_shuffle(spark, d):
-    rows = sampling.shuffled(table(spark, d, "documents").select("doc_id"), F.col("doc_id"))
-    # the place of a row, from counts of hash ranges and its rank in its range, so that no task holds all rows
-    h = hashing.hash_hex(F.col("doc_id"))
-    ranged = rows.select("doc_id", h.alias("h"), F.substring(h, 1, 2).alias("lead"))
-    before = ranged.groupBy("lead").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(W.orderBy("lead").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # 256 rows
-    inside = F.row_number().over(W.partitionBy("lead").orderBy("h", "doc_id"))
-    return ranged.withColumn("r", inside).join(F.broadcast(before), "lead").select("doc_id", (F.col("r") + F.col("before")).alias("place"))
+    return sampling.hash_rank(table(spark, d, "documents").select("doc_id"), F.col("doc_id"), "doc_id")
 
 
 @query("select event_id, value is null as absent from (select event_id, case event_id % 40 when 0 then null when 1 then 'nan'::double when 2 then 'infinity'::double when 3 then '-infinity'::double else value end as value from events) where value is null or not isfinite(value)")

@@ -52,6 +52,7 @@ def commit_examples(rows: DataFrame, seed: int = DEFAULT_SEED, keep: list[str] |
     d = d.withColumn("_patch", diffs.unified_diff(F.col("old_contents"), F.col("new_contents"), F.col("_old"), F.col("_new"))).where(F.length(strip(F.col("_patch"))) > 0)
     task = F.coalesce(F.nullif(F.col("subject"), F.lit("")), F.nullif(F.col("message"), F.lit("")), F.lit("Apply the requested change."))
     lang = F.coalesce("lang", F.lit(""))
+    # The layout of the prompt, and the task of a commit that states none.
     prompt = F.concat(
         F.lit("Repository file: "), "_old", F.lit("\n\nTask: "), task, F.lit("\n\nCurrent content:\n```"), lang, F.lit("\n"), F.coalesce("old_contents", F.lit("")),
         F.lit("\n```\n\nReturn the smallest correct unified diff."),
