@@ -350,10 +350,18 @@ def _candidates(matrix: DataFrame, buckets: int, threshold: float) -> DataFrame:
     return held.where("held >= need").select("q", "grp")
 
 
-def _within_bound(cand: DataFrame, some: DataFrame, threshold: float) -> DataFrame:
-    """``grp, cls, c1, members`` of the queries that the stored union of a group may hold enough tokens of."""
-    unions = some.groupBy("grp").agg(F.count("*").alias("members"), *[F.bit_or(b).alias(f"u{b}") for b in WORDS_OF])
-    asks = some.select(F.col("c1").alias("q"), "cls", "n", *WORDS_OF)
+def _within_bound(cand: DataFrame, some: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """``grp, cls, c1, members`` of the queries that the stored union of a group may hold enough tokens of.
+
+    Only the bits of the classes concerned, queries and members of a group asked, leave the sketch.
+    """
+    inside = durable(some.join(cand.select("grp").distinct(), "grp").select("grp", "c1"))
+    needed = durable(inside.select("c1").unionByName(cand.select(F.col("q").alias("c1"))).distinct())
+    small = needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    bits = sketch.where("kind = 0").select("c1", *WORDS_OF).join(F.broadcast(needed) if small else needed, "c1", "left_semi")
+    bits = durable(bits.groupBy("c1").agg(*[F.max(b).alias(b) for b in WORDS_OF]))  # the same for all texts of a class
+    unions = inside.join(bits, "c1").groupBy("grp").agg(F.count("*").alias("members"), *[F.bit_or(b).alias(f"u{b}") for b in WORDS_OF])
+    asks = some.select("c1", "cls", "n").join(bits, "c1").withColumnRenamed("c1", "q")
     missing = sum((F.bit_count(F.col(b).bitwiseAND(F.bitwise_not(F.col(f"u{b}")))) for b in WORDS_OF[1:]), F.bit_count(F.col(WORDS_OF[0]).bitwiseAND(F.bitwise_not(F.col(f"u{WORDS_OF[0]}")))))
     bounded = cand.join(unions, "grp").join(asks, "q").where(F.col("n") - missing >= threshold * F.col("n") - 1e-9)
     return bounded.select("grp", "cls", F.col("q").alias("c1"), "members")
@@ -377,14 +385,15 @@ def similar_classes(examples: DataFrame, threshold: float = 0.7, width: int = WI
     postings = float(counts.sum(dtype=np.int64)) * (1 - threshold + EXTRA)
     buckets = max(16, math.ceil(postings / BUCKET_POSTINGS))
     sketch = durable(_sketch(wanted, counts, buckets, threshold, width))
-    docs = sketch.where("kind = 0").groupBy("id").agg(F.max(F.struct("c1", "c2", "n", "grp", *WORDS_OF)).alias("d")).select("id", "d.*")
+    docs = sketch.where("kind = 0").groupBy("id").agg(F.max(F.struct("c1", "c2", "n", "grp")).alias("d")).select("id", "d.*")
     alone = F.when(F.col("n") == 0, F.xxhash64("id")).otherwise(F.lit(0).cast("long"))
     docs = docs.withColumn("alone", alone)
-    classes = durable(docs.groupBy("c1", "c2", "alone").agg(F.min("id").alias("cls"), *[F.first(c).alias(c) for c in ("n", "grp", *WORDS_OF)]))
+    classes = durable(docs.groupBy("c1", "c2", "alone").agg(F.min("id").alias("cls"), *[F.first(c).alias(c) for c in ("n", "grp")]))
     members = durable(docs.select("id", "c1", "c2", "alone").join(classes.select("c1", "c2", "alone", "cls", "n"), ["c1", "c2", "alone"]).select("id", "cls", "n"))
 
     some = classes.where("n > 0")
-    cand = durable(_within_bound(_candidates(sketch, buckets, threshold), some, threshold))
+    held = durable(_candidates(sketch, buckets, threshold))
+    cand = durable(_within_bound(held, some, sketch, threshold))
     asked = cand.groupBy("grp").agg(F.count("*").alias("queries"), F.max("members").alias("members"))
     asked = asked.select("grp", F.ceil(F.col("members") / GROUP_MEMBERS).cast("int").alias("mparts"), F.ceil(F.col("queries") / GROUP_QUERIES).cast("int").alias("qparts"))
     asked = durable(asked)
